@@ -51,8 +51,9 @@ LEAST_WORDS = 3
 _CACHE = 300_000
 
 _FENCE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)", re.S)
-_SPAN = re.compile(r"`[^`\n]*`|\[[A-Za-z]{1,5}[-:][\w:-]+\]|<[^<>\n]{1,200}>|https?://\S+|\]\([^()\s]*\)|\|[-:| ]+\||\S*[/_]\S*\w|\b\w+\.\w{1,4}\b(?=\W|$)")
-_SENTENCE = re.compile(r"[^.!?。！？]*(?:[.!?]+[\"'”’»)\]]*(?=\s|$)|[.!?](?!\s)[^.!?。！？]*)*(?:[.!?]*[。！？]+[”」』]*)?")
+#: What is passed over: inline code, citations, tags, addresses, link targets, table rules; then identifiers and paths.
+_SPANS = tuple(map(re.compile, (r"`[^`\n]*`", r"\[[A-Za-z]{1,5}[-:][\w:-]+\]", r"<[^<>\n]{1,200}>", r"https?://\S+", r"\]\([^()\s]*\)", r"\|[-:| ]+\|")))
+_PATHLIKE = re.compile(r"(?<!\S)[^\s/_]{0,200}[/_]\S*")
 _END = re.compile(r"[.!?…]+[\"'”’»)\]]*(?=\s|$)|[。！？]+[”」』]*")
 _MARKER = re.compile(r"\s*(?:#{1,6}\s|[-*+•]\s|>|\||\d+[.)]\s)")
 _HEADING = re.compile(r"\s*#{1,6}\s")
@@ -60,7 +61,7 @@ _LEAD = re.compile(r"^[\s#>*+•|\-–—:;,.\d]+")
 _NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
 _WORD = re.compile(r"[^\W\d_]+")
 _INVISIBLE = re.compile("[​-‏‪-‮⁠-⁤﻿­]")
-_GAPS = re.compile(r"\s+")
+_SCRIPTS = {"han": re.compile("[⺀-鿿豈-﫿]+"), "cyrillic": re.compile("[Ѐ-ӿ]+"), "greek": re.compile("[Ͱ-Ͽ]+"), "arabic": re.compile("[؀-ۿ]+")}
 _IDEOGRAPHS = re.compile(r"[⺀-鿿豈-﫿]")
 
 
@@ -83,21 +84,32 @@ def _blank(m: re.Match[str]) -> str:
 
 
 def normalise(sentence: str) -> str:
-    s = unicodedata.normalize("NFKC", _INVISIBLE.sub("", sentence)).lower()
-    return _GAPS.sub(" ", _NUMBER.sub("0", _LEAD.sub("", s))).strip()
+    s = sentence
+    if not s.isascii():
+        s = _INVISIBLE.sub("", s)
+        if not unicodedata.is_normalized("NFKC", s):
+            s = unicodedata.normalize("NFKC", s)
+    return " ".join(_NUMBER.sub("0", _LEAD.sub("", s.lower())).split())
 
 
 def words_of(sentence: str) -> list[str]:
     """Words; of unspaced scripts the single characters."""
+    found = _WORD.findall(sentence)
+    if sentence.isascii() or not _IDEOGRAPHS.search(sentence):
+        return found
     out: list[str] = []
-    for w in _WORD.findall(sentence):
+    for w in found:
         out += list(w) if _IDEOGRAPHS.match(w) else [w]
     return out
 
 
 def sentences(text: str) -> list[tuple[int, int, str, bool]]:
     """``(start, end, normalised, is_heading)`` of the sentences of a text, code and tables left out."""
-    masked = _SPAN.sub(_blank, _FENCE.sub(_blank, text))
+    masked = _FENCE.sub(_blank, text)
+    for span in _SPANS:
+        masked = span.sub(_blank, masked)
+    if "/" in masked or "_" in masked:
+        masked = _PATHLIKE.sub(_blank, masked)
     out: list[tuple[int, int, str, bool]] = []
     blocks: list[tuple[int, int, bool]] = []
     at = 0
@@ -124,9 +136,18 @@ def sentences(text: str) -> list[tuple[int, int, str, bool]]:
     return [x for x in out if x[2] and _WORD.search(x[2])]
 
 
+def script(s: str) -> str:
+    """Script of most letters of a text: latin, or that of the first other block that has more letters."""
+    if s.isascii():
+        return "latin"
+    found = {name: sum(map(len, block.findall(s))) for name, block in _SCRIPTS.items()}
+    top = max(found, key=found.__getitem__)
+    return top if found[top] * 2 > sum(map(len, _WORD.findall(s))) else "latin"
+
+
 @dataclass(frozen=True)
 class Model:
-    """Raw dictionary contents of each language and the characters each of them knows."""
+    """Raw dictionary contents of each language."""
 
     contents: dict[str, bytes]
 
@@ -139,29 +160,33 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.langs = sorted(model.contents)
-        self.compress = {}
-        self.alphabet = {}
-        for code in self.langs:
+        #: Compressors by the script that most letters of their dictionary belong to.
+        self.by_script: dict[str, list] = defaultdict(list)
+        for i, code in enumerate(self.langs):
             raw = model.contents[code]
             d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=LEVEL)
-            self.compress[code] = zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress
-            chars = Counter(raw.decode("utf-8", "ignore"))
-            self.alphabet[code] = frozenset(c for c, n in chars.items() if n >= 3 and c.isalpha())
+            one = zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+            self.by_script[script(raw.decode("utf-8", "ignore"))].append((i, one.compress))
         self.cache: dict[str, tuple[int, ...] | None] = {}
 
     def cost(self, s: str) -> tuple[int, ...] | None:
-        """Bytes of a normalised sentence in each language; null if it is too short to tell."""
+        """Bytes of a normalised sentence in each language; null if it is too short to tell.
+
+        Languages of another script are not tried; they get more than the plain bytes.
+        """
         got = self.cache.get(s, 0)
         if got != 0:
             return got
         out: tuple[int, ...] | None = None
-        words = words_of(s)
-        if len(words) >= LEAST_WORDS:
-            raw, chars = s.encode("utf-8"), set("".join(words))
-            fits = [2 * len(chars & self.alphabet[c]) >= len(chars) for c in self.langs]
-            if any(fits):
-                out = tuple(len(self.compress[c](raw)) if ok else len(raw) + 16 for c, ok in zip(self.langs, fits))
+        if len(words_of(s)) >= LEAST_WORDS:
+            fit = self.by_script.get(script(s))
+            if fit:
+                raw = s.encode("utf-8")
+                costs = [len(raw) + 16] * len(self.langs)
+                for i, compress in fit:
+                    costs[i] = len(compress(raw))
+                out = tuple(costs)
         if len(self.cache) > _CACHE:
             self.cache.clear()
         self.cache[s] = out
@@ -181,6 +206,9 @@ class Scorer:
                 return []
             units = [(found[0][0], found[-1][1], c)]
         k = range(len(self.langs))
+        lows = {c.index(min(c)) for _, _, c in units}
+        if len(lows) == 1:
+            return self._rows([[units[0][0], units[-1][1], lows.pop(), [sum(x) for x in zip(*(c for _, _, c in units))], len(units)]])
         total = list(units[0][2])
         back: list[list[int]] = []
         for _, _, c in units[1:]:
@@ -202,8 +230,11 @@ class Scorer:
                 out[-1][4] += 1
             else:
                 out.append([a, z, i, list(c), 1])
+        return self._rows(out)
+
+    def _rows(self, found: list[list]) -> list[tuple[int, int, str, float, int]]:
         result = []
-        for a, z, i, c, n in out:
+        for a, z, i, c, n in found:
             second = min(x for j, x in enumerate(c) if j != i)
             margin = (second - c[i]) / max(1, second)
             if margin >= MARGIN:
