@@ -124,10 +124,10 @@ def agg_citation_manifest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def join_mentions(spark: SparkSession, d: str) -> DataFrame:
-    """Heading words longer than three characters that are the unique name of a symbol of the repository."""
-    words = _chunks(spark, d, ("heading_path",)).select("repo", "chunk_id", F.explode(F.array_distinct(F.regexp_extract_all("heading_path", F.lit(r"\w+"), F.lit(0)))).alias("name")).filter(F.length("name") > 3)
+    """Code spans of documents longer than three characters that are the unique name of a symbol of the repository."""
+    words = table(spark, d, "documents").select("repo", "doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("`(\\w+)`"), F.lit(1)))).alias("name")).filter(F.length("name") > 3)
     uniq = _symbols(spark, d).groupBy("repo", "name").agg(F.count(F.lit(1)).alias("n"), F.min("symbol_id").alias("symbol_id")).filter("n = 1")
-    return words.join(uniq, ["repo", "name"]).select("chunk_id", "symbol_id")
+    return words.join(uniq, ["repo", "name"]).select("doc_id", "symbol_id")
 
 
 def join_tests(spark: SparkSession, d: str) -> DataFrame:
@@ -346,7 +346,7 @@ ORACLE = {
     "join_citations": f"SELECT section_id, evidence_id, 'unlisted' AS defect FROM (SELECT * FROM {_CITED} EXCEPT SELECT * FROM {_USED}) UNION ALL SELECT section_id, evidence_id, 'uncited' FROM (SELECT * FROM {_USED} EXCEPT SELECT * FROM {_CITED})",
     "join_cross_citations": f"SELECT l.section_id, l.evidence_id, o.owner FROM (SELECT * FROM {_CITED} EXCEPT SELECT * FROM {_USED}) l JOIN (SELECT evidence_id, min(section_id) AS owner FROM {_USED} GROUP BY evidence_id) o ON l.evidence_id = o.evidence_id",
     "agg_citation_manifest": f"SELECT evidence_id, min(section_id) AS owner, count(DISTINCT section_id) AS users, count(*) AS occurrences FROM {_CITED} GROUP BY evidence_id",
-    "join_mentions": f"SELECT w.chunk_id, u.symbol_id FROM (SELECT DISTINCT repo, chunk_id, unnest(regexp_extract_all(heading_path, '\\w+')) AS name FROM {_C}) w JOIN (SELECT repo, name, min(symbol_id) AS symbol_id FROM {_S} GROUP BY repo, name HAVING count(*) = 1) u ON w.repo = u.repo AND w.name = u.name WHERE length(w.name) > 3",
+    "join_mentions": f"SELECT w.doc_id, u.symbol_id FROM (SELECT DISTINCT repo, doc_id, unnest(regexp_extract_all(text, '`(\\w+)`', 1)) AS name FROM documents) w JOIN (SELECT repo, name, min(symbol_id) AS symbol_id FROM {_S} GROUP BY repo, name HAVING count(*) = 1) u ON w.repo = u.repo AND w.name = u.name WHERE length(w.name) > 3",
     "join_tests": f"WITH f AS (SELECT repo, path, regexp_replace(list_extract(string_split(path, '/'), -1), '\\.\\w+$', '') AS stem FROM {_F}), u AS (SELECT repo, stem, min(path) AS target FROM f GROUP BY repo, stem HAVING count(*) = 1) SELECT f.repo, f.path, u.target FROM f JOIN u ON f.repo = u.repo AND starts_with(f.stem, 'test_') AND regexp_replace(f.stem, '^test_', '') = u.stem",
     "rank_bm25": _bm25_sql("SELECT chunk_id, concat_ws(' ', text, symbol_name, heading_path, path) AS text FROM " + _max("chunks", "chunk_id", "text symbol_name heading_path path"), "chunk_id"),
     "search_documents": _bm25_sql("SELECT doc_id, text FROM documents WHERE text IS NOT NULL", "doc_id"),
