@@ -65,7 +65,7 @@ _ABOUT = frozenset(
 )
 _LAST_TWO = frozenset(("api", "access", "secret", "signing", "private", "auth", "encryption", "account", "master", "shared", "session", "deploy"))
 _PLACEHOLDER = re.compile(
-    r"^(?:x+|X+|\*+|\.+|-+|0+|[xX0*.\-_/+= ]+)$|^<.*>$|^\[.*\]$|\$\{|\{\{|\$\(|^\$|^%|^\{|^@|\.\.\.|your[_-]|replace|change[_-]?me|dummy|example|placeholder|not[_-]?set|todo|fixme|redacted|sample[_-]|insert[_-]|^(?:none|null|nil|true|false|undefined|test|secret|password|token|empty|unset|default)$",
+    r"^(?:x+|X+|\*+|\.+|-+|0+|[xX0\W_]+)$|^<.*>$|^\[.*\]$|\$\{|\{\{|\$\(|^\$|^%|^\{|^@|\.\.\.|your[_-]|replace|change[_-]?me|dummy|example|placeholder|not[_-]?set|todo|fixme|redacted|sample[_-]|insert[_-]|^(?:none|null|nil|true|false|undefined|test|secret|password|token|empty|unset|default)$",
     re.I,
 )
 _IDS = re.compile(r"^(?:[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}|sha\d+[:-].*)$", re.I)

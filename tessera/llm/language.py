@@ -235,7 +235,7 @@ class Scorer:
     def _rows(self, found: list[list]) -> list[tuple[int, int, str, float, int]]:
         result = []
         for a, z, i, c, n in found:
-            second = min(x for j, x in enumerate(c) if j != i)
+            second = min((x for j, x in enumerate(c) if j != i), default=2 * c[i])
             margin = (second - c[i]) / max(1, second)
             if margin >= MARGIN:
                 result.append((a, z, self.langs[i], round(min(1.0, margin), 4), n))

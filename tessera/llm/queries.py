@@ -24,7 +24,7 @@ def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classified(spark, sf_dir).filter("NOT handwritten").select("file_id")
+    return _classified(spark, sf_dir).filter("NOT handwritten").select("file_id").distinct()
 
 
 def p1_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -210,4 +210,4 @@ def check(text: str) -> int | None:
     at = grammar().parse(toks)
     if at < 0:
         return None
-    return max(1, lines[min(at, len(lines) - 1)]) if lines else 1
+    return min(max(1, lines[min(at, len(lines) - 1)]), text.count("\n") + 1) if lines else 1

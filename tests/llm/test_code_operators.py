@@ -1,0 +1,125 @@
+import ast
+import json
+import tomllib
+
+import pytest
+
+from tessera.llm import credentials, handwritten, syntax
+from tessera.llm.grammar import Grammar
+
+GOOD = {
+    "python": ["", "x: int = 1\n", "match x:\n    case {'a': [1, *r]} if r:\n        pass\n", "def f(a, /, *, b=1, **k): yield\n", "f'{a!r:>{w}} {b[\"c\"]}'\n", "type X[T] = list[T]\n", "with (a as b, c):\n\tpass\n", "async def f():\n  async for x in y: await z\n", "print(*a, **b, sep='')\n", "# only a comment"],
+    "javascript": ["", "let x = 1\nlet y = x\n++y", "const f = async ({a, b = 2}, ...c) => { await a }", "x = a ? b : /re[/]/g.test(c) / 2", "`a ${b + `c ${d}`} e`", "class A extends B { #p = 1; static { f() } get x() { return this.#p } delete() {} }", "label: for (const [k, v] of m) continue label", "export default function () {}"],
+    "typescript": ["interface A<T> extends B { a?: string; f(x: T): void; [k: string]: any }", "const f = (a: number, b?: string): Promise<Map<string, number[]>> => g<string>(a)", "enum E { A = 1, B }", "const c = cond ? (a) : b", "type X<T> = T extends (infer U)[] ? U : never", "abstract class A { private readonly x: number = 1; abstract f(): void }"],
+    "go": ["package p\n\nfunc (t *T) F(a, b int, c ...string) (x int, err error) {\n\tif x := g(); x > 0 {\n\t}\n\tfor _, v := range m {\n\t\tgo f(v)\n\t}\n\treturn\n}\n", "package p\nvar x = map[string][]T{\"a\": {{1}}}\n"],
+    "java": ["package a;\nimport b.*;\nclass A<T> { int[] x = {1}; List<? extends T> f(int... a) throws E { for (var x : xs) y -> { }; return (T) a; } }".replace("y -> { };", "g(y -> 1);"), "record R(int x) implements I { R { } }", "enum E { A { void f() {} }, B; int z; }"],
+    "json": ['{"a": [1, -2.5e3, null, true, "\\u00e9"]}', "[]", '"x"'],
+    "yaml": ["", "a: 1\nb:\n- x\n- y: z\n  w: |\n    text: not a key\n", "{a: [1, {b: c}]}\n", "--- \nx: &a !!str y\nz: *a\n...\n", "k: 'it''s'\nl: \"a\\n\"\n? m\n: n\n"],
+    "toml": ["", "a = 1\n[b.c]\nd = [1, 2,\n 3]\ne = { f = 'g' }\n[[h]]\ni = 1979-05-27T07:32:00Z\n[[h]]\ni = 1\n"],
+}
+BAD = {
+    "python": ["def f()\n  pass\n", "print 'x'\n", "x = (1\n", "if a:\nb\n", "f(a,,b)\n", "<<<<<<< HEAD\n", "s = 'abc\n", "  x = 1\n", "if a:\n        b\n\tc\n", "x = 0777\n", "exec a in b\n"],
+    "javascript": ["let x = ;", "function f( { }", "const x: number = 1", '{"a": 1}', "f(a b)", "x = `abc", "<html></html>", "if (a { }", "f() }"],
+    "typescript": ["interface A { b string }", "let x: = 1", "<<<<<<< a\nx\n=======\n", "class A { x: number y: string }"],
+    "go": ["", "func f() {}", "package p\nfunc f( {\n}\n", "package p\nvar x = \"abc\n", "package p\nfunc f() { a b }\n"],
+    "java": ["class A {", "class A { int x = 1 }", "def f(): pass", "class A { void f() { foo(a, ); } }"],
+    "json": ["", "{'a': 1}", '{"a": 1,}', "[1 2]", '{"a": NaN}', '{"a": 1} x'],
+    "yaml": ["a: b: c\n", "a: [1, 2\nb: 3\n", "<<<<<<< ours\na: 1\n", "a:\n\tb: 1\n", "a: 'x\n", "- a\nb: c\n"],
+    "toml": ["a = \n", "a = 'x\n", "[a\n", "a = 1\na = 2\n", "{}", "a: 1\n", "[a]\n[a]\n"],
+}
+
+
+@pytest.mark.parametrize("lang", sorted(GOOD))
+def test_valid_texts(lang):
+    assert [t for t in GOOD[lang] if syntax.first_error(lang, t) is not None] == []
+
+
+@pytest.mark.parametrize("lang", sorted(BAD))
+def test_invalid_texts(lang):
+    assert [t for t in BAD[lang] if syntax.first_error(lang, t) is None] == []
+
+
+def test_python_json_toml_agree_with_exact_parsers():
+    for t in GOOD["python"]:
+        ast.parse(t)
+    for t in BAD["python"]:
+        with pytest.raises(SyntaxError):
+            ast.parse(t)
+    for t in GOOD["json"]:
+        json.loads(t)
+    for t in GOOD["toml"]:
+        tomllib.loads(t)
+
+
+def test_grammar_engine():
+    g = Grammar("s: 'a' [b] 'c' ; b: ('x' | s)+ ;", "s")
+    assert [g.parse(list(w)) for w in ("ac", "axxc", "aacxc", "ab", "a", "acc")] == [-1, -1, -1, 1, 1, 2]
+    with pytest.raises(ValueError):
+        Grammar("s: s 'a' | 'b' ;", "s")
+
+
+def test_check_frame(spark):
+    files = spark.createDataFrame([(1, "a.py", "r"), (1, "a.py", "r"), (2, "b.json", "r"), (3, "c.md", "r"), (4, None, "r"), (5, "d.py", None)], "file_id long, path string, repo string")
+    texts = spark.createDataFrame([(1, "x = (", 9), (2, "{}", 9), (3, "x", 9), (4, "x", 9), (5, None, 9)], "file_id long, text string, error_line int")
+    out = syntax.check_files(files, texts)
+    assert sorted((r.file_id, r.syntax_language, r.error_line) for r in out.collect()) == [(1, "python", 1), (2, "json", None)]
+    assert {(r.syntax_language, r.n_files, r.n_invalid, r.rate) for r in syntax.error_rates(out, files).collect()} == {("python", 1, 1, 1.0), ("json", 1, 0, 0.0)}
+    assert syntax.check_files(files.limit(0), texts).count() == 0
+
+
+TOKEN = "ghp_" + "aB3" * 12
+SECRETS = [
+    f'x = Client(token="{TOKEN}")', 'password = "Mast5762%"', "- name: SIGNING_KEY\n  value: 'k3jH8sLq02nMzX'", "url: redis://user:EunCy00hzcFu@host/db", "auth: Basic aGFyYm9yOmxhRE5ZVElYYTNvd3BXXg==",
+    'k = "a1B2c3D4e" + "f5G6h7"\napi_key = "a1B2c3D4e" + "f5G6h7I8"', "curl -u top:i6FA4rvVPDIN https://x", "secret: >-\n  hX7k29sLmQ81zB", '# old db_password=Grove8883&', "Use `k8msyrVHWxNz6ZKk` as api_token now", 'c.login("u", "8FehkMT3JbY3hYt")',
+]
+CLEAN = [
+    'password = os.environ["PASSWORD"]', 'token = ""', 'api_key = "YOUR_API_KEY"', 'secret = "xxxxxxxxxxxx"', "url: https://${USER}:${PASS}@host/x", 'checksum = "ce09b456e3d2f2f571cb99cc302fe9f6087ffea2"', "token_limit = 7961",
+    'token = "1e7ae70d-9a82-4fbc-aa03-f6550b88dac0"', "client_secret: {{ vault.client_secret }}", "Set `CLIENT_SECRET` to your own value", 'p = getpass("split deep lantern")', 'f"amqp://{user}:{pw}@h/x"', "ssh-ed25519 AAAAC3NzaC1lZDI1NTE5 me@host",
+]
+
+
+def test_credentials_found_and_masked():
+    assert [t for t in SECRETS if len(credentials.find_credentials(t)) != 1] == []
+    assert [t for t in CLEAN if credentials.find_credentials(t)] == []
+    for t in SECRETS:
+        m = credentials.mask(t)
+        assert len(m) == len(t) and m != t and not credentials.find_credentials(m)
+    assert ast.parse(credentials.mask(SECRETS[5])) and credentials.mask(None) is None and credentials.mask("") == ""
+
+
+def test_private_key_counts_once(spark):
+    key = "-----BEGIN RSA PRIVATE KEY-----\nMIIabc123\nxyz\n-----END RSA PRIVATE KEY-----"
+    js = json.dumps({"privateKey": key, "b": 1})
+    assert json.loads(credentials.mask(js))["b"] == 1
+    rows = [("a", 10, f'x = 1\nk = """{key}"""\n', "z"), ("a", 10, f'x = 1\nk = """{key}"""\n', "z"), ("b", None, SECRETS[1], "z"), ("c", 1, None, "z"), ("d", 1, "", "z")]
+    df = spark.createDataFrame(rows, "chunk_id string, start_line int, text string, kinds string")
+    assert {(r.chunk_id, r.line_no) for r in credentials.credential_lines(df).collect()} == {("a", 11), ("b", None)}
+    red = {r.chunk_id: (r.n_credentials, r.text) for r in credentials.redact(df).collect()}
+    assert set(red) == set("abcd") and red["c"] == (0, None) and "MIIabc" not in red["a"][1]
+    assert credentials.credential_lines(df.limit(0)).count() == 0
+
+
+def why(path, text, known=None):
+    return handwritten.reasons(path, text, known)
+
+
+def test_reasons():
+    assert why("a.py", "# Code generated by x. DO NOT EDIT.\nx = 1\n") == ["generated_mark"]
+    assert why("a.py", 'BANNER = "# Code generated by x. DO NOT EDIT."\n') == []
+    assert why("a.md", "Files below `build/` are generated; do not edit them.\n") == []
+    assert why("a.go", "package a\n// see the generated client\n") == []
+    assert why("vendor/x/a.go", "package a\n") == ["vendor_folder"] and why("vendor_portal/a.go", "package a\n") == []
+    assert why("x/poetry.lock", "a = 1\n") == ["lock"]
+    assert "minified" in why("a.js", "!function(t){" + "var a=t.b(c,1);function d(n){return n.e&&f(n)}" * 30 + "}();\n")
+    assert why("a.py", "T = [\n" + "    123456, 654321, 111111, 222222,\n" * 30 + "]\n") == ["data"]
+    assert why("a.sql", "".join(f"INSERT INTO some_longer_table VALUES ({i}, '9acdc79ed1317a92abfff7f6', {i});\n" for i in range(40))) == ["uniform"]
+    assert why("a.py", 'Q = "SELECT ' + "a_b, " * 200 + '"\n') == [] and why(None, "") == []
+
+
+def test_classify_frame(spark):
+    up = spark.createDataFrame([("\n".join(f"def function_{i}(argument):" for i in range(30)),)], "text string")
+    files = spark.createDataFrame([(1, "a.py", 0), (1, "a.py", 0), (2, None, 0), (3, "c.py", 0), (4, "d.py", 0)], "file_id long, path string, reasons int")
+    texts = spark.createDataFrame([(1, up.first().text + "\nlocal_change = 1"), (2, "x = 1"), (3, ""), (4, None)], "file_id long, text string")
+    got = {r.file_id: (r.handwritten, r.reasons) for r in handwritten.classify_files(files, texts, up).collect()}
+    assert got == {1: (False, "upstream"), 2: (True, ""), 3: (True, "")}
+    assert handwritten.classify_files(files, texts.limit(0)).count() == 0
