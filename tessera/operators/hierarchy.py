@@ -1,7 +1,7 @@
 """Parent-child rows to full hierarchies by tree contraction.
 
-Rounds alternate between raking (all leaves are taken off) and compression (in unary chains an independent
-set of nodes, chosen by hashed coins, is spliced out and its single child is linked to the grandparent).
+Rounds alternate between raking (all leaves are taken off) and two passes of compression (in unary chains an
+independent set of nodes, chosen by hashed coins, is spliced out and its single child is linked to the grandparent).
 Every removed node is recorded with the link it had. A chain of n nodes is therefore gone after O(log n)
 rounds, and what never goes away is a loop, shrunk to one node that is its own parent. Reversing the records
 gives root, depth and path of all nodes, since a removed node's link always points to one removed later.
@@ -35,54 +35,62 @@ def resolve_parents(links: DataFrame) -> DataFrame:
     return real.groupBy(*_KEY).agg(F.min("parent").alias("parent"))
 
 
-def resolve_hierarchy(links: DataFrame, *, with_paths: bool = True, max_rounds: int = 400) -> DataFrame:
+_STATE = ("tree", "node", "parent", "w", "lo", "seg")
+
+
+def _splice(state: DataFrame, step: int, salt: int, with_paths: bool) -> DataFrame:
+    """One compression pass: chosen unary nodes get status ``step``, their child takes over their link."""
+    free = (F.col("status") == 0) & (F.col("inner") == 1) & (F.col("node") != F.col("parent"))
+    state = state.withColumn("status", F.when(free & _coin("tree", "node", salt) & ~_coin("tree", "parent", salt), step).otherwise(F.col("status")))
+    gone = state.filter(F.col("status") == step).select("tree", F.col("node").alias("parent"), *(F.col(c).alias(f"g_{c}") for c in ("node", "parent", "w", "lo", "seg")))
+    moved = (F.col("status") == 0) & F.col("g_parent").isNotNull()
+    seg = F.when(moved, F.concat("g_seg", F.array("g_node"), "seg")).otherwise(F.col("seg")) if with_paths else F.col("seg")
+    return state.join(gone, ["tree", "parent"], "left").select(
+        "tree",
+        "node",
+        F.when(moved, F.col("g_parent")).otherwise(F.col("parent")).alias("parent"),
+        F.when(moved, F.col("w") + F.col("g_w")).otherwise(F.col("w")).alias("w"),
+        F.when(moved, F.least("lo", "g_lo", "g_node")).otherwise(F.col("lo")).alias("lo"),
+        seg.alias("seg"),
+        "inner",
+        "status",
+    )
+
+
+def _contract(active: DataFrame, r: int, with_paths: bool) -> DataFrame:
+    """One round on the links that are left. Status 1: raked leaf; 2 and 3: spliced in the first and second pass; 0: stays."""
+    kids = active.groupBy("tree", F.col("parent").alias("node")).agg(F.lit(1).alias("has"))
+    raked = checkpoint(active.join(kids, list(_KEY), "left").withColumn("status", F.when(F.col("has").isNull(), 1).otherwise(0)).drop("has"))
+    inner = raked.filter("status = 0").groupBy("tree", F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("inner"))
+    state = raked.join(inner, list(_KEY), "left").select(*_STATE, F.coalesce("inner", F.lit(0)).alias("inner"), "status")
+    return checkpoint(_splice(_splice(state, 2, 2 * r, with_paths), 3, 2 * r + 1, with_paths))
+
+
+def resolve_hierarchy(links: DataFrame, *, with_paths: bool = True, max_rounds: int = 200) -> DataFrame:
     """``(tree, node, root, depth[, path])`` of each node of ``links (tree, node, parent)``.
 
     ``path`` is the array of ids from the root to the node itself.
     """
-    seg = F.expr("cast(array() as array<string>)") if with_paths else F.lit(None).cast("array<string>")
+    empty = F.expr("cast(array() as array<string>)") if with_paths else F.lit(None).cast("array<string>")
+    none = F.lit(None).cast("array<string>")
     base = checkpoint(resolve_parents(links))
-    path = F.array("node") if with_paths else F.lit(None).cast("array<string>")
+    path = F.array("node") if with_paths else none
     known = [base.filter(F.col("parent").isNull()).select(*_KEY, F.col("node").alias("root"), F.lit(0).alias("depth"), path.alias("path"))]
-    cols = ("tree", "node", "parent", "w", "lo", "seg")
-    active = base.filter(F.col("parent").isNotNull()).select("tree", "node", "parent", F.lit(1).alias("w"), F.lit(None).cast("string").alias("lo"), seg.alias("seg"))
+    active = base.filter(F.col("parent").isNotNull()).select("tree", "node", "parent", F.lit(1).alias("w"), F.lit(None).cast("string").alias("lo"), empty.alias("seg"))
+    left = active.agg(F.count_if(F.col("node") != F.col("parent")).alias("n")).first().n
     records: list[DataFrame] = []
     for r in range(max_rounds):
-        n, loops, chains = _shape(active)
-        if n == loops:
+        if not left:
             break
-        if r % 2 == 0 or not chains:
-            state = checkpoint(_marked(active))
-            records.append(state.filter("kids = 0").select(*cols))
-            active = state.filter("kids > 0").select(*cols)
-        else:
-            mark = _marked(active)
-            out = (F.col("kids") == 1) & _coin("tree", "node", r) & ~_coin("tree", "parent", r)
-            state = checkpoint(mark.withColumn("out", out))
-            gone = state.filter("out")
-            records.append(gone.select(*cols))
-            up = gone.select("tree", F.col("node").alias("parent"), *(F.col(c).alias(f"g_{c}") for c in ("node", "parent", "w", "lo", "seg")))
-            joined = state.filter("NOT out").join(up, ["tree", "parent"], "left")
-            moved = F.col("g_parent").isNotNull()
-            active = checkpoint(
-                joined.select(
-                    "tree",
-                    "node",
-                    F.coalesce("g_parent", "parent").alias("parent"),
-                    (F.col("w") + F.coalesce("g_w", F.lit(0))).alias("w"),
-                    F.least("lo", "g_lo", "g_node").alias("lo"),
-                    (F.when(moved, F.concat("g_seg", F.array("g_node"), "seg")).otherwise(F.col("seg")) if with_paths else F.col("seg")).alias("seg"),
-                )
-            )
-    else:
+        state = _contract(active, r, with_paths)
+        sizes = state.agg(*(F.count_if(F.col("status") == k).alias(f"n{k}") for k in (1, 2, 3)), F.count_if((F.col("status") == 0) & (F.col("node") != F.col("parent"))).alias("n0")).first()
+        records += [state.filter(F.col("status") == k).select(*_STATE) for k in (1, 2, 3) if sizes[f"n{k}"]]
+        active, left = state.filter("status = 0").select(*_STATE), sizes["n0"]
+    if left:
         raise RuntimeError("the contraction did not end")
-    none = F.lit(None).cast("array<string>")
     known.append(active.select(*_KEY, F.least("node", "lo").alias("root"), F.lit(-1).alias("depth"), none.alias("path")))
     for rec in reversed(records):
-        up = known[0]
-        for part in known[1:]:
-            up = up.unionByName(part)
-        up = up.select("tree", F.col("node").alias("parent"), "root", F.col("depth").alias("above"), F.col("path").alias("up_path"))
+        up = _union(known).select("tree", F.col("node").alias("parent"), "root", F.col("depth").alias("above"), F.col("path").alias("up_path"))
         down = rec.join(up, ["tree", "parent"]).select(
             *_KEY,
             "root",
@@ -90,22 +98,15 @@ def resolve_hierarchy(links: DataFrame, *, with_paths: bool = True, max_rounds:
             (F.concat("up_path", "seg", F.array("node")) if with_paths else none).alias("path"),
         )
         known.append(checkpoint(down))
-    out = known[0]
-    for part in known[1:]:
-        out = out.unionByName(part)
+    out = _union(known)
     return out if with_paths else out.drop("path")
 
 
-def _marked(active: DataFrame) -> DataFrame:
-    """``active`` with the number of children each node still has."""
-    kids = active.groupBy("tree", F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("kids"))
-    return active.join(kids, list(_KEY), "left").withColumn("kids", F.coalesce("kids", F.lit(0)))
-
-
-def _shape(active: DataFrame) -> tuple[int, int, int]:
-    """Numbers of rows, of self-loops, and of rows that are no self-loop after them."""
-    row = active.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.col("node") == F.col("parent")).cast("int")), F.lit(0)).alias("loops")).first()
-    return row.n, row.loops, row.n - row.loops
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def descendants(hierarchy: DataFrame) -> DataFrame:

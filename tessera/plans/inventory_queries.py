@@ -91,7 +91,7 @@ def scalar_bounded(spark: SparkSession, d: str) -> DataFrame:
 def scalar_anchor(spark: SparkSession, d: str) -> DataFrame:
     """Anchors of chunks written and read back, in both orders."""
     c = one_per_key(table(spark, d, "chunks"), "chunk_id", ["path", "start_line", "end_line"])
-    ref = F.concat_ws(":", "path", F.concat_ws("-", F.col("end_line").cast("string"), F.col("start_line").cast("string")))
+    ref = F.concat("path", F.lit(":"), F.col("end_line").cast("string"), F.lit("-"), F.col("start_line").cast("string"))
     return c.select("chunk_id", ref.alias("anchor"), S.anchor_start(ref).alias("a_start"), S.anchor_end(ref).alias("a_end"), F.greatest(F.col("end_line") - F.col("start_line") + 1, F.lit(0)).alias("n_lines"))
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
+_tables: list[tuple[SparkSession, str]] = []
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -32,16 +35,31 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` in the shared checkpoint folder.
+    """Cut the lineage of ``df`` by a table written into the shared checkpoint folder.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests, notebooks)
-    is a temporary one chosen.
+    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests, notebooks) is a temporary one
+    chosen. A table is used rather than a checkpointed plan because its real size, not the product of the estimates of
+    all joins before it, is what later rounds of an iterative operator are planned with. Tables go when the application ends.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-ckpt-"))
-    return df.checkpoint(eager=True)
+    path = f"{sc.getCheckpointDir()}/tessera-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _tables:
+        atexit.register(_drop_tables)
+    _tables.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop_tables() -> None:
+    for spark, path in _tables:
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session may be gone already
+            return
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

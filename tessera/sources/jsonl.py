@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 class MalformedRows(ValueError):
@@ -19,7 +19,7 @@ def read_lenient(spark: SparkSession, path: str, schema: StructType | str) -> Da
 def read_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Parsed rows with their raw line; raises ``MalformedRows`` with file and line text if any line is malformed."""
     lines = spark.read.text(path).withColumn("file", F.input_file_name()).filter(F.trim("value") != "")
-    corrupt = StructType(schema.fields).add("_corrupt", "string")
+    corrupt = StructType([*schema.fields, StructField("_corrupt", StringType())])
     parsed = lines.select("file", F.col("value").alias("raw"), F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_corrupt"}).alias("row"))
     bad = parsed.filter("row IS NULL OR row._corrupt IS NOT NULL").select("file", "raw").limit(3).collect()
     if bad:
