@@ -46,7 +46,7 @@ _LITERAL = r"[rbuf]{0,2}(?:\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
 #: name = "literal", with an optional type, joined parts, and list or table marks around.
 _QUOTED = re.compile(rf"(?<![\w$])[\"'`]?(--?)?({_NAME})[\"'`]?(?:\s*:\s*[\w.\[\]<>|]+)?\s*(?::=|=>|[=:,|])\s*\(?\s*({_LITERAL}(?:\s*(?:\+|\\)?\s*{_LITERAL})*)")
 #: name = value without quotes, to the end of the line.
-_BARE = re.compile(rf"(?<![\w$])(--?)?({_NAME})\s*(?::=|[=:])\s*([^\s\"'`#;,(){{}}\[\]<>]+)(?=[\"'\s;,)\]]|$)")
+_BARE = re.compile(rf"(?<![\w$])(--?)?({_NAME})\s*(?::=|[=:])\s*([^\s\"'`#;,(){{}}\[\]<>][^\s\"'`;,(){{}}\[\]<>]*)(?=[\"'\s;,)\]]|$)")
 #: name: >- and the value on the next line, or name: and a value on its own on the next line.
 _BELOW = re.compile(rf"(?<![\w$])[\"'`]?({_NAME})[\"'`]?\s*[:=]\s*(?:[>|][+-]?|\\|\()?[ \t]*\r?\n(?:[ \t]*```\w*\r?\n)?[ \t]*(?:[\"'`])?([^\s\"'`]+)(?:[\"'`])?[ \t]*\)?(?=\r?\n|$)")
 #: - name: SECRET_NAME and value: x on the next line.
@@ -72,6 +72,9 @@ _IDS = re.compile(r"^(?:[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-
 _WORDS = re.compile(r"^[A-Za-z]+(?:[_-][A-Za-z]+)*$")
 #: A part of a dashed value that no writer would case like that.
 _MIXED = re.compile(r"-(?=[A-Za-z]*[a-z][A-Z]|[A-Z][A-Z]+[a-z]|[A-Z]{5}$)[A-Za-z]{4,}$")
+#: Two words and a short random tail, a common form of generated passwords.
+_THREE = re.compile(r"^[a-z]{2,}-[a-z]{2,}-[A-Za-z]{4,6}$")
+_PASSWORD = re.compile(r"(?:password|passwd|pwd|pass|passphrase|passcode|pw)\d*$", re.I)
 _B64 = re.compile(r"^[A-Za-z0-9+/]{8,}={0,2}$")
 
 
@@ -108,16 +111,20 @@ def _decoded(value: str) -> str | None:
     return out if out.isprintable() else None
 
 
-def plausible(value: str, *, bare: bool = False) -> bool:
-    """Whether a literal given to a secret-like name is a usable credential."""
+def plausible(value: str, *, bare: bool = False, word: bool = False) -> bool:
+    """Whether a literal given to a secret-like name is a usable credential; ``word``: the name is that of a password."""
     if len(value) < 6 or any(c.isspace() for c in value) or _PLACEHOLDER.search(value) or _IDS.match(value):
         return False
-    if "://" in value or value.isdigit() or value.startswith(("/", "./", "~")):
+    if "://" in value or value.isdigit() or value.startswith(("./", "~")):
+        return False
+    if value.startswith("/") and not (len(value) >= 32 and any(c.isdigit() for c in value) and any(c.isupper() for c in value) and any(c.islower() for c in value)):
         return False
     inner = _decoded(value)
     if inner is not None and (_PLACEHOLDER.search(inner) or _IDS.match(inner)):
         return False
     digit, upper, lower = any(c.isdigit() for c in value), any(c.isupper() for c in value), any(c.islower() for c in value)
+    if word and _THREE.match(value):
+        return True
     if not digit and not (upper and lower):
         return False
     if bare and (not digit and _WORDS.match(value) and not _MIXED.search(value) or re.match(r"^[A-Za-z_]\w*(?:\.\w+)+$", value) and not _ISSUER.fullmatch(value)):
@@ -179,11 +186,11 @@ def find_credentials(text: str | None) -> list[tuple[int, int, str]]:
             if secret_name(m.group(2)):
                 parts = list(_PART.finditer(m.group(3)))
                 value = "".join(p.group(2) for p in parts)
-                if parts and plausible(value):
+                if parts and plausible(value, word=bool(_PASSWORD.search(m.group(2)))):
                     base = a + m.start(3)
                     spans.append((base + parts[0].start(2), base + parts[-1].end(2), "assignment"))
         for m in _BARE.finditer(w):
-            if secret_name(m.group(2)) and plausible(m.group(3), bare=True):
+            if secret_name(m.group(2)) and plausible(m.group(3), bare=True, word=bool(_PASSWORD.search(m.group(2)))):
                 spans.append((a + m.start(3), a + m.end(3), "assignment"))
         for m in _BELOW.finditer(w):
             if secret_name(m.group(1)) and plausible(m.group(2), bare=True):
@@ -195,10 +202,10 @@ def find_credentials(text: str | None) -> list[tuple[int, int, str]]:
             if secret_name(m.group(2)) and plausible(m.group(1)):
                 spans.append((a + m.start(1), a + m.end(1), "prose"))
         for m in _USERPASS.finditer(w):
-            if plausible(m.group(1)):
+            if len(m.group(1)) >= 6 and not _PLACEHOLDER.search(m.group(1)) and "$" not in m.group(1):
                 spans.append((a + m.start(1), a + m.end(1), "login"))
         for m in _LOGIN.finditer(w):
-            if plausible(m.group(2)):
+            if plausible(m.group(2), word=True):
                 spans.append((a + m.start(2), a + m.end(2), "login"))
     spans.sort(key=lambda s: (s[0], -s[1]))
     out: list[tuple[int, int, str]] = []
