@@ -34,19 +34,20 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
+def checkpoint(df: DataFrame, by: str | None = None) -> DataFrame:
     """Cut the lineage of ``df`` by a table written into the shared checkpoint folder.
 
     The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests, notebooks) is a temporary one
     chosen. A table is used rather than a checkpointed plan because its real size, not the product of the estimates of
-    all joins before it, is what later rounds of an iterative operator are planned with. Tables go when the application ends.
+    all joins before it, is what later rounds of an iterative operator are planned with. Filters on the column ``by`` then
+    read only their part. Tables go when the application ends.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-ckpt-"))
     path = f"{sc.getCheckpointDir()}/tessera-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     if not _tables:
         atexit.register(_drop_tables)
     _tables.append((spark, path))
