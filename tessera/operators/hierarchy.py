@@ -63,7 +63,7 @@ def _contract(active: DataFrame, r: int, with_paths: bool) -> DataFrame:
     raked = checkpoint(active.join(kids, list(_KEY), "left").withColumn("status", F.when(F.col("has").isNull(), 1).otherwise(0)).drop("has"))
     inner = raked.filter("status = 0").groupBy("tree", F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("inner"))
     state = raked.join(inner, list(_KEY), "left").select(*_STATE, F.coalesce("inner", F.lit(0)).alias("inner"), "status")
-    return checkpoint(_splice(_splice(state, 2, 2 * r, with_paths), 3, 2 * r + 1, with_paths).drop("inner"), by="status")
+    return checkpoint(_splice(_splice(state, 2, 2 * r, with_paths), 3, 2 * r + 1, with_paths).drop("inner"))
 
 
 def resolve_hierarchy(links: DataFrame, *, with_paths: bool = True, max_rounds: int = 200) -> DataFrame:
