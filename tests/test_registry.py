@@ -22,8 +22,8 @@ TABLES = {
         [("m/", "r", "src/a.py", "a", "module", "a", None, [], 1, 3), ("m/A#", "r", "src/a.py", "A", "class", "a", "m/", ["B"], 2, 3), ("m/A#", "r", "src/a.py", "A", "class", "a", "m/", ["B"], 2, 3), ("l1", "r", "z", "B", "class", "z", "l2", [], 1, 9), ("l2", "r", "z", "C", "class", "z", "l1", None, 1, 9)],
     ),
     "sections": (
-        "section_id string, repo string, title string, section_role string, priority string, parent_section_id string, markdown string, used_evidence_ids array<string>, covered_topics array<string>",
-        [("s1", "r", "T", "x", None, None, "see [EV-1] and [EV-2]", ["EV-1", "EV-3"], ["Alpha ", "beta"]), ("s2", "r", "", None, "p", "s1", "[EV-3]", ["EV-2"], ["alpha"]), ("s3", "r", None, None, None, "s3", None, None, None), ("s4", "r", "U", "x", "p", "gone", "", [], [None])],
+        "section_id string, repo string, title string, section_role string, priority string, parent_section_id string, markdown string, used_evidence_ids array<string>, covered_topics array<string>, page_profile string, section_order int, coverage_labels array<string>",
+        [("s1", "r", "T", "x", None, None, "see [EV-1] and [EV-2]", ["EV-1", "EV-3"], ["Alpha ", "beta"], None, 1, ["x", "T"]), ("s2", "r", "", None, "p", "s1", "[EV-3]", ["EV-2"], ["alpha"], "p", 2, None), ("s3", "r", None, None, None, "s3", None, None, None, None, None, []), ("s4", "r", "U", "x", "p", "gone", "", [], [None], None, 3, [None])],
     ),
     "documents": (
         "doc_id long, text string, lang string, source string, repo string, path string, updated_at timestamp",
