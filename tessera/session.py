@@ -19,18 +19,19 @@ _tables: list[tuple[SparkSession, str]] = []
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers.
 
-    Nothing is done when the workers inherit a path that holds it; otherwise a zip of the sources is
-    added to the session once per application.
+    Nothing is done where all workers run on this machine and inherit a path that holds it; otherwise a zip of the
+    sources is added to the session once per application, which the executors fetch from the driver.
     """
-    app = spark.sparkContext.applicationId
-    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep) + [os.getcwd()]
-    if app in _shipped or any(p and Path(p).resolve() == _ROOT for p in paths):
+    sc = spark.sparkContext
+    app = sc.applicationId
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep) + ([os.getcwd()] if sc.master.startswith("local[") or sc.master == "local" else [])
+    if app in _shipped or sc.master.startswith("local") and any(p and Path(p).resolve() == _ROOT for p in paths):
         return
     target = Path(tempfile.mkdtemp()) / "tessera_src.zip"
     with zipfile.ZipFile(target, "w") as z:
         for f in sorted((_ROOT / "tessera").rglob("*.py")):
             z.write(f, f.relative_to(_ROOT))
-    spark.sparkContext.addPyFile(str(target))
+    sc.addPyFile(str(target))
     _shipped.add(app)
 
 
