@@ -9,9 +9,15 @@ K1, B = 1.2, 0.75
 
 
 def fingerprint(df: DataFrame, key: str, sha: str, part: list[str]) -> DataFrame:
-    """Order-independent digest of (key, sha) pairs per group; a null sha counts as empty."""
+    """Order-independent digest of the distinct (key, sha) pairs per group; a null sha counts as empty.
+
+    The digest is taken over two sums of hashed pairs and their number, so partial sums are formed before the shuffle
+    and no group is ever gathered.
+    """
     pair = F.concat(F.col(key), F.lit("\t"), F.coalesce(F.col(sha), F.lit("")), F.lit("\n"))
-    return df.groupBy(*part).agg(F.sha2(F.array_join(F.array_sort(F.collect_set(pair)), ""), 256).alias("fingerprint"))
+    one = df.select(*part, F.md5(pair).alias("h")).distinct()
+    sums = [F.sum(F.conv(F.substring("h", at, 15), 16, 10).cast("decimal(20,0)")).cast("string") for at in (1, 16)]
+    return one.groupBy(*part).agg(F.sha2(F.concat_ws(":", *sums, F.count(F.lit(1)).cast("string")), 256).alias("fingerprint"))
 
 
 def postings(docs: DataFrame, key: str, text: Column) -> DataFrame:

@@ -352,7 +352,8 @@ ORACLE = {
     "search_documents": _bm25_sql("SELECT doc_id, text FROM documents WHERE text IS NOT NULL", "doc_id"),
     "rank_vectors": f"""WITH s AS (SELECT q.vec_id AS query, b.vec_id, round(list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) / (sqrt(list_inner_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[])) * sqrt(list_inner_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]))), 6) AS score
 FROM embeddings q JOIN embeddings b ON q.vec_id % 20 = 0 AND q.vec_id <> b.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM s) SELECT query, place, vec_id, score FROM r WHERE place <= {K}""",
-    "agg_fingerprint": f"SELECT repo, sha256(string_agg(p, '' ORDER BY p)) AS fingerprint FROM (SELECT DISTINCT repo, chunk_id || chr(9) || coalesce(sha256, '') || chr(10) AS p FROM {_C}) GROUP BY repo",
+    "agg_fingerprint": f"""WITH h AS (SELECT DISTINCT repo, md5(chunk_id || chr(9) || coalesce(sha256, '') || chr(10)) AS h FROM {_C})
+SELECT repo, sha256(concat_ws(':', CAST(sum(CAST('0x' || substr(h, 1, 15) AS HUGEINT)) AS VARCHAR), CAST(sum(CAST('0x' || substr(h, 16, 15) AS HUGEINT)) AS VARCHAR), CAST(count(*) AS VARCHAR))) AS fingerprint FROM h GROUP BY repo""",
     "agg_symbols_by_module": f"SELECT module, count(*) AS n FROM {_S} WHERE coalesce(module, '') <> '' GROUP BY module ORDER BY n DESC, module LIMIT 25",
     "rank_classes": f"SELECT symbol_id, end_line - start_line + 1 AS n_lines FROM {_S} WHERE kind = 'class' ORDER BY n_lines DESC, path, symbol_id LIMIT 25",
     "agg_facets": f"WITH g AS (SELECT repo, regexp_replace(path, '/[^/]*$', '') AS dir, count(*) AS n, array_to_string(list_slice(list_sort(list(DISTINCT path)), 1, 15), '|') AS paths FROM {_F} WHERE path LIKE '%/%' GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY repo ORDER BY n DESC, dir) AS place FROM g) SELECT * FROM r WHERE place <= 12",
