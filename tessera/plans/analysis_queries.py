@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.chunking import text_lines
-from tessera.operators.graph import build_graph, degrees, neighbours
+from tessera.operators.graph import build_graph, degrees, hubs, neighbours, whole_graph
 from tessera.operators.joins import first_per
 from tessera.operators.patterns import PACKS, SKIPPED, digest, preview, scan
 from tessera.operators.pyast import parse_python
 from tessera.operators.search import fingerprint
 from tessera.operators.tables import one_per_key
-from tessera.session import ship_package, table
+from tessera.plans.relational_queries import join_mentions, join_tests
+from tessera.session import checkpoint, ship_package, table
 
 
 def _files(spark: SparkSession, d: str) -> DataFrame:
@@ -56,30 +57,30 @@ def scan_preview(spark: SparkSession, d: str) -> DataFrame:
 
 
 def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
-    """Nodes with labels."""
+    """Nodes of repositories, files and symbols with labels; graph_whole_nodes has all node types."""
     return build_graph(_files(spark, d), _symbols(spark, d))[0]
 
 
 def graph_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Containment and inheritance edges whose ends exist."""
+    """G2, G3 and of J8 the bases that are unique classes: containment and inheritance edges whose ends exist; graph_whole_edges has all edge types."""
     return build_graph(_files(spark, d), _symbols(spark, d))[1]
 
 
 def graph_types(spark: SparkSession, d: str) -> DataFrame:
-    """A3: numbers of nodes and edges by type."""
+    """A3 on graph_nodes and graph_edges: numbers of nodes and edges by type."""
     nodes, edges = build_graph(_files(spark, d), _symbols(spark, d))
     return nodes.groupBy(F.concat(F.lit("node:"), "type").alias("type")).agg(F.count(F.lit(1)).alias("n")).unionByName(edges.groupBy(F.concat(F.lit("edge:"), "type").alias("type")).agg(F.count(F.lit(1)).alias("n")))
 
 
 def graph_hubs(spark: SparkSession, d: str) -> DataFrame:
-    """The 30 nodes with most edges, ties by id."""
+    """A4, A12, R6 on graph_edges: the 30 nodes with most edges, ties by id."""
     _, edges = build_graph(_files(spark, d), _symbols(spark, d))
     x = degrees(edges).withColumn("total", F.col("n_in") + F.col("n_out"))
     return x.orderBy(F.desc("total"), "node_id").limit(30)
 
 
 def graph_neighbours(spark: SparkSession, d: str) -> DataFrame:
-    """Up to eight neighbours of every class."""
+    """J18, E6 on graph_edges: up to eight neighbours of every class."""
     nodes, edges = build_graph(_files(spark, d), _symbols(spark, d))
     return neighbours(edges, nodes.filter("type = 'class'"))
 
@@ -90,6 +91,44 @@ def _parsed(spark: SparkSession, d: str) -> DataFrame:
     return parse_python(t)
 
 
+def _whole_graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    files = checkpoint(_files(spark, d))
+    raw = table(spark, d, "symbols")
+    more = ["decorators"] if "decorators" in raw.columns else []
+    s = one_per_key(raw, "symbol_id", ["repo", "path", "name", "kind", "parent_symbol_id", "bases", "start_line", "end_line", *more])
+    if not more:
+        s = s.withColumn("decorators", F.lit(None).cast("array<string>"))
+    parsed = checkpoint(_parsed(spark, d).filter("kind IN ('import', 'call')").join(files, "file_id"))
+    return whole_graph(files, checkpoint(s), parsed, join_tests(spark, d), join_mentions(spark, d), table(spark, d, "documents"))
+
+
+def graph_whole_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Repositories, files, tests, configuration, symbols, dependencies and documents."""
+    return _whole_graph(spark, d)[0]
+
+
+def graph_whole_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Edges of all seven types whose ends exist."""
+    return _whole_graph(spark, d)[1]
+
+
+def graph_whole_types(spark: SparkSession, d: str) -> DataFrame:
+    """A3: numbers of nodes and edges by type, on the whole graph."""
+    nodes, edges = _whole_graph(spark, d)
+    return nodes.groupBy(F.concat(F.lit("node:"), "type").alias("type")).agg(F.count(F.lit(1)).alias("n")).unionByName(edges.groupBy(F.concat(F.lit("edge:"), "type").alias("type")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def graph_whole_hubs(spark: SparkSession, d: str) -> DataFrame:
+    """The 30 nodes with most edges of each type, by source and by target, and over all types, on the whole graph."""
+    return hubs(_whole_graph(spark, d)[1])
+
+
+def graph_whole_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """Up to eight neighbours of every class, on the whole graph."""
+    nodes, edges = _whole_graph(spark, d)
+    return neighbours(edges, nodes.filter("type = 'class'"))
+
+
 def ast_rows(spark: SparkSession, d: str) -> DataFrame:
     """Symbols, imports, routes and calls of all Python files."""
     return _parsed(spark, d)
@@ -208,7 +247,8 @@ lane AS (SELECT doc_id, place, chunk_id, 'hit' AS state FROM top UNION ALL SELEC
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_packs, scan_digest, scan_top_files, scan_preview, graph_nodes, graph_edges, graph_types, graph_hubs, graph_neighbours, ast_rows, ast_external_imports, ast_calls,
+        scan_packs, scan_digest, scan_top_files, scan_preview, graph_nodes, graph_edges, graph_types, graph_hubs, graph_neighbours,
+        graph_whole_nodes, graph_whole_edges, graph_whole_types, graph_whole_hubs, graph_whole_neighbours, ast_rows, ast_external_imports, ast_calls,
         gate_sections, gate_freshness, gate_capabilities, gate_coverage, lane_files, lane_summary, events_payload,
     )
 }
