@@ -58,3 +58,18 @@ def preview(hits: DataFrame, lines: DataFrame, keys: list[str], around: int = 2)
     near = hits.select(*keys, "pack", "line_no", F.explode(F.sequence(F.col("line_no") - around, F.col("line_no") + around)).alias("at"))
     got = near.join(lines.select(*keys, F.col("line_no").alias("at"), F.col("line").alias("text")), [*keys, "at"])
     return got.groupBy(*keys, "pack", "line_no").agg(F.array_sort(F.collect_list(F.struct("at", "text"))).alias("c")).withColumn("context", F.array_join("c.text", "\n")).drop("c")
+
+
+def preview_texts(texts: DataFrame, keys: list[str], path: str, text: str, around: int = 2) -> DataFrame:
+    """What ``preview`` gives for all hits of ``scan``, from whole texts: no line is joined."""
+    lines = F.split(text, "\n", -1)
+    near = lambda i: F.array_join(F.slice("ls", F.greatest(i + 1 - around, F.lit(1)), F.least(i, F.lit(around)) + around + 1), "\n")
+    matching = lambda pattern: F.filter(F.transform("ls", lambda x, i: F.when(x.rlike(pattern), i)), lambda i: i.isNotNull())
+    packs = []
+    for name, (pattern, ends, _) in PACKS.items():
+        fits = reduce(lambda a, b: a | b, [F.col(path).endswith(e) for e in ends.split()])
+        packs.append(F.when(fits, F.struct(F.lit(name).alias("pack"), matching(pattern).alias("at"))))
+    src = texts.filter(scannable(path) & F.col(text).isNotNull()).withColumn("ls", lines)
+    hits = F.filter(F.array(*packs), lambda x: x.isNotNull())
+    rows = F.flatten(F.transform(hits, lambda h: F.transform(h["at"], lambda i: F.struct(h["pack"].alias("pack"), (i + 1).alias("line_no"), near(i).alias("context")))))
+    return src.select(*keys, F.explode(rows).alias("hit")).select(*keys, "hit.*")

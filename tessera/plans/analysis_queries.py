@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators.chunking import text_lines
 from tessera.operators.graph import build_graph, degrees, hubs, neighbours, whole_graph
-from tessera.operators.joins import first_per
-from tessera.operators.patterns import PACKS, SKIPPED, digest, preview, scan
+from tessera.operators.joins import first_per, overlap_join
+from tessera.operators.patterns import PACKS, SKIPPED, digest, preview, preview_texts, scan
 from tessera.operators.pyast import parse_python
 from tessera.operators.search import fingerprint
 from tessera.operators.tables import one_per_key
@@ -51,11 +51,25 @@ def scan_top_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scan_preview(spark: SparkSession, d: str) -> DataFrame:
-    """Hits on entry points and routes with two lines around them."""
+    """X4 for three packs, as its SQL has it: hits with two lines around them; scan_previews has the hits of all packs and their symbols."""
     hits = _scan(spark, d).filter(F.col("pack").isin("entrypoints", "web_routes", "auth_security"))
     return preview(hits, _lines(spark, d), ["file_id"]).select("file_id", "pack", F.col("line_no").cast("long").alias("line_no"), "context")
 
 
+def scan_previews(spark: SparkSession, d: str) -> DataFrame:
+    """Every hit of every pack with two lines around it and the smallest symbol around it (null at module level)."""
+    t = _files(spark, d).join(table(spark, d, "file_texts").select("file_id", F.replace("text", F.lit("\r"), F.lit("")).alias("text")), "file_id")
+    got = checkpoint(preview_texts(t, ["file_id", "repo", "path"], "path", "text"))
+    raw = table(spark, d, "symbols")
+    more = F.coalesce(F.array_size("decorators"), F.lit(0)) if "decorators" in raw.columns else F.lit(0)
+    s = one_per_key(raw, "symbol_id", ["repo", "path", "kind", "start_line", "end_line", *(["decorators"] if "decorators" in raw.columns else [])])
+    s = s.filter("kind <> 'module'").select("symbol_id", "repo", "path", (F.col("start_line") - more).alias("r_start"), F.col("end_line").alias("r_end"))
+    at = got.select("file_id", "repo", "path", "line_no").distinct().withColumns({"l_start": F.col("line_no"), "l_end": F.col("line_no")})
+    near = overlap_join(at, s, ["repo", "path"]).withColumn("size", F.col("r_end") - F.col("r_start"))
+    within = first_per(near, ["file_id", "line_no"], [F.col("size"), F.col("symbol_id")], 1).select("file_id", "line_no", "symbol_id")
+    return got.join(within, ["file_id", "line_no"], "left").select("file_id", "pack", F.col("line_no").cast("long").alias("line_no"), "context", "symbol_id")
+
+
 def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
     """Nodes of repositories, files and symbols with labels; graph_whole_nodes has all node types."""
     return build_graph(_files(spark, d), _symbols(spark, d))[0]
@@ -247,7 +261,7 @@ lane AS (SELECT doc_id, place, chunk_id, 'hit' AS state FROM top UNION ALL SELEC
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_packs, scan_digest, scan_top_files, scan_preview, graph_nodes, graph_edges, graph_types, graph_hubs, graph_neighbours,
+        scan_packs, scan_digest, scan_top_files, scan_preview, scan_previews, graph_nodes, graph_edges, graph_types, graph_hubs, graph_neighbours,
         graph_whole_nodes, graph_whole_edges, graph_whole_types, graph_whole_hubs, graph_whole_neighbours, ast_rows, ast_external_imports, ast_calls,
         gate_sections, gate_freshness, gate_capabilities, gate_coverage, lane_files, lane_summary, events_payload,
     )
