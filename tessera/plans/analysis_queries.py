@@ -144,7 +144,7 @@ def graph_whole_neighbours(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ast_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Symbols, imports, routes and calls of all Python files."""
+    """Symbols, imports, routes, calls, constants and module docs of all Python files."""
     return _parsed(spark, d)
 
 

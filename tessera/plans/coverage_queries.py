@@ -156,7 +156,7 @@ def rank_handles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ast_contracts(spark: SparkSession, d: str) -> DataFrame:
-    """Operations by route and method of the Python files."""
+    """Operations by route and method of the Python files."""
     ship_package(spark)
     f = _files(spark, d).filter(F.col("path").rlike(r"\.py$"))
     r = parse_python(f.join(table(spark, d, "file_texts"), "file_id")).filter("kind = 'route'").join(f.select("file_id", "repo"), "file_id")
