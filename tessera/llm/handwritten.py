@@ -1,8 +1,9 @@
 """Files that no developer of the repository wrote by hand.
 
-Each text is lexed into comments, strings, numbers and the rest, and measured against its canonical layout, in which
-every statement and brace of the lexed text has its own line: extreme expansion marks minified code; lines that
-repeat one token shape without any deviation, filled with literals, mark generated data; dominance of numbers and
+Each text is lexed into comments, strings, numbers and the rest, and measured against an approximation of its canonical
+layout, nothing being re-emitted: one line for each semicolon and brace outside strings and comments, in brace languages
+only, where extreme expansion marks minified code; lines that repeat one token shape, tested only in texts filled with
+literals, mark generated data; dominance of numbers and
 encoded strings marks data blobs. Comments (never strings or prose) are searched for the marks that tools and
 importers leave, texts are compared line by line with known third-party files, and names and folders that only tools
 or package managers use count as well.
