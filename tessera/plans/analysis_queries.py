@@ -10,6 +10,7 @@ from tessera.operators.graph import build_graph, degrees, hubs, neighbours, whol
 from tessera.operators.joins import first_per, overlap_join
 from tessera.operators.patterns import PACKS, SKIPPED, digest, preview, preview_texts, scan
 from tessera.operators.pyast import parse_python
+from tessera.operators.references import import_targets, resolve_calls
 from tessera.operators.search import fingerprint
 from tessera.operators.tables import one_per_key
 from tessera.plans.relational_queries import join_mentions, join_tests
@@ -157,14 +158,14 @@ def ast_external_imports(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ast_calls(spark: SparkSession, d: str) -> DataFrame:
-    """Calls resolved to a function of the same file, else to a unique name of the repository."""
-    p = _parsed(spark, d).join(_files(spark, d).select("file_id", "repo"), "file_id")
-    defs = p.filter("kind IN ('function', 'method')")
-    local = defs.filter("kind = 'function' AND scope = ''").select("file_id", F.col("name").alias("callee"), F.lit("medium").alias("near")).distinct()
-    uniq = defs.groupBy("repo", F.col("name").alias("callee")).agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select("repo", "callee", F.lit("low").alias("far"))
-    c = p.filter("kind = 'call'").select("file_id", "repo", F.col("scope").alias("caller"), F.element_at(F.split("name", r"\."), -1).alias("callee"), "start_line")
-    x = c.join(local, ["file_id", "callee"], "left").join(uniq, ["repo", "callee"], "left")
-    return x.select("file_id", "caller", "callee", "start_line", F.coalesce("near", "far", F.lit("unresolved")).alias("confidence"))
+    """Calls resolved to a top-level definition of the same file, else to an imported one, else to a unique name of the repository; calls of oneself are dropped."""
+    files = checkpoint(_files(spark, d))
+    p = checkpoint(_parsed(spark, d).filter("kind IN ('function', 'method', 'class', 'import', 'call')").join(files, "file_id"))
+    own = F.concat_ws(".", F.nullif(F.col("scope"), F.lit("")), "name")
+    defs = p.filter("kind IN ('function', 'method', 'class')").select("repo", "path", "name", F.concat("path", F.lit(":"), own).alias("target_id"), (F.col("scope") == "").alias("top"))
+    c = p.filter("kind = 'call'").select("file_id", "repo", "path", F.col("scope").alias("caller"), "name", "start_line")
+    x = resolve_calls(c, import_targets(files, p), defs).filter(~F.col("target_id").eqNullSafe(F.concat("path", F.lit(":"), "caller")))
+    return x.select("file_id", "caller", "callee", "start_line", "confidence")
 
 
 def gate_sections(spark: SparkSession, d: str) -> DataFrame:
@@ -208,7 +209,7 @@ def gate_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lane_files(spark: SparkSession, d: str) -> DataFrame:
-    """Of each document with a path: the first three chunks of that file, or why there are none."""
+    """Of E1 and J19 the lookup by path, without range anchors and spans: of each document with a path: the first three chunks of that file, or why there are none."""
     docs = table(spark, d, "documents").filter("path IS NOT NULL").select("doc_id", "repo", "path")
     c = one_per_key(table(spark, d, "chunks"), "chunk_id", ["repo", "path", "start_line"])
     top = first_per(docs.join(c, ["repo", "path"]), ["doc_id"], [F.col("start_line"), F.col("chunk_id")], 3).select("doc_id", "place", "chunk_id")
@@ -218,7 +219,7 @@ def lane_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lane_summary(spark: SparkSession, d: str) -> DataFrame:
-    """Per repository requested, returned and missing files."""
+    """A31 and of A29 one lane: per repository requested, returned and missing files."""
     x = lane_files(spark, d).groupBy("doc_id").agg(F.max((F.col("state") == "hit").cast("long")).alias("hit"))
     r = table(spark, d, "documents").filter("path IS NOT NULL").select("doc_id", "repo")
     return x.join(r, "doc_id").groupBy("repo").agg(F.count(F.lit(1)).alias("requested"), F.sum("hit").alias("returned"), F.sum(1 - F.col("hit")).alias("missing"))

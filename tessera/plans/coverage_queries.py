@@ -67,7 +67,7 @@ def catalog_topics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def coverage_breadth(spark: SparkSession, d: str) -> DataFrame:
-    """Sections of each role against the pages their topics need, four topics a page."""
+    """A22, A24, V7 and of A23 one of four levels (density by role): sections of each role against the pages their topics need, four topics a page."""
     s = _sections(spark, d).withColumn("role", F.coalesce("section_role", F.lit("")))
     t = _topics(spark, d).join(s.select("section_id", "repo", "role"), "section_id").groupBy("repo", "role").agg(F.countDistinct("topic").alias("topics"))
     p = s.groupBy("repo", "role").agg(F.count(F.lit(1)).alias("pages"))

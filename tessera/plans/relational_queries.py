@@ -181,14 +181,14 @@ def agg_facets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agg_token_bank(spark: SparkSession, d: str) -> DataFrame:
-    """Code spans of documents as tokens with kind and number of documents."""
+    """A32 and of U17 one back-tick pattern instead of ten token families: code spans of documents as tokens with kind and number of documents."""
     t = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("`([^`\n]+)`"), F.lit(1))).alias("token"))
     kind = F.when(F.col("token").rlike(r"^[\w.\-]+(/[\w.\-]+)+$"), "path").when(F.col("token").rlike(r"^[A-Z][A-Z0-9_]+$"), "env").when(F.col("token").rlike(r"^[A-Za-z_][A-Za-z0-9_]*$"), "identifier").otherwise("other")
     return t.groupBy("token").agg(F.min(kind).alias("kind"), F.countDistinct("doc_id").alias("n_docs"), F.count(F.lit(1)).alias("n"))
 
 
 def join_grounding(spark: SparkSession, d: str) -> DataFrame:
-    """Path tokens of documents that are files of their repository or not."""
+    """J26 and of A33 a lookup of paths with one slash, not a search in cited texts: path tokens of documents that are files of their repository or not."""
     t = table(spark, d, "documents").select("repo", F.explode(F.regexp_extract_all("text", F.lit("`([\\w.\\-]+/[\\w.\\-]+)`"), F.lit(1))).alias("token")).distinct()
     f = _files(spark, d).select("repo", F.explode(suffixes(F.col("path"))).alias("token")).distinct().withColumn("grounded", F.lit(True))
     return t.join(f, ["repo", "token"], "left").select("repo", "token", F.coalesce("grounded", F.lit(False)).alias("grounded"))
