@@ -6,6 +6,7 @@ import re
 from functools import lru_cache
 
 from tessera.llm.grammar import Grammar
+from tessera.llm.syntax_script_rules import java_fault, script_fault
 
 _SPACE = r"(?:[ \t\f\v\r ﻿]+|//[^\n]*|/\*[^*]*\*+(?:[^/*][^*]*\*+)*/)*"
 _DQ = r'"(?:[^"\\\n]|\\[\s\S])*"'
@@ -84,7 +85,7 @@ JS_GRAMMAR = (
     _JS_COMMON
     + """
 item: export | imports | stmt ;
-stmt: block | var ';' | function | class | if | for | switch | try | ';' | LABEL ':' stmt | 'do' stmt 'while' '(' expr ')' [';'] | 'while' '(' expr ')' stmt | 'with' '(' expr ')' stmt
+stmt: block | var ';' | function | class | if | for | switch | try | ';' | LABEL ':' stmt | 'do' stmt 'while' '(' expr ')' [';'] | 'while' '(' expr ')' stmt
      | ('break' | 'continue') [ident] ';' | 'return' [expr] ';' | 'throw' expr ';' | 'debugger' ';' | expr ';' ;
 decl: binding ['=' assign] ;
 fordecl: binding ['=' cond] ;
@@ -114,11 +115,11 @@ TS_GRAMMAR = (
     .replace("| '{' [spec (',' (spec))* [',']] '}' ['from' STR [with]] ';'", "| [TYPEONLY] '{' [spec (',' (spec))* [',']] '}' ['from' STR [with]] ';'")
     + """
 item: export | imports | stmt ;
-stmt: block | var ';' | function | class | if | for | switch | try | ';' | LABEL ':' stmt | 'do' stmt 'while' '(' expr ')' [';'] | 'while' '(' expr ')' stmt | 'with' '(' expr ')' stmt
+stmt: block | var ';' | function | class | if | for | switch | try | ';' | LABEL ':' stmt | 'do' stmt 'while' '(' expr ')' [';'] | 'while' '(' expr ')' stmt
      | ('break' | 'continue') [ident] ';' | 'return' [expr] ';' | 'throw' expr ';' | 'debugger' ';' | expr ';' | tsdecl ;
 tsdecl: TYPEDEF ident '=' type ';' | INTERFACE ident ['extends' type (',' type)*] objtype | NAMESPACE [ident ('.' ident)* | STR] [block] [';'] | DECLARE (tsdecl | var ';' | function | class | item) | enum | ABSTRACT class ;
 enum: 'enum' ident '{' [emember (',' (emember))* [',']] '}' ;
-emember: (propname | '[' STR ']') ['=' assign] ;
+emember: (ident | KEY | STR | 'let' | '[' STR ']') ['=' assign] ;
 decl: binding [DEF] [':' type] ['=' assign] ;
 fordecl: binding [':' type] ['=' cond] ;
 binding: ident | array | object ;
@@ -156,20 +157,27 @@ def _js_words(text: str) -> list[str]:
     if "/" not in toks and "/=" not in toks:
         return toks
     out: list[str] = []
-    at, n, prev = 0, len(text), ""
+    at, n, prev, before = 0, len(text), "", ""
+    heads: list[bool] = []  # of each open parenthesis, whether a statement follows it
+    headed = False
     while at < n:
-        if prev in _BEFORE_REGEX:
+        if prev in _BEFORE_REGEX or headed and prev == ")":
             m = _JS_SLOW.match(text, at)
             if m:
                 out.append(m.group(1))
-                prev, at = m.group(1), m.end()
+                before, prev, at = prev, m.group(1), m.end()
                 continue
         m = _JS_LEX.match(text, at)
         if not m:
             break
         out.append(m.group(1))
-        if m.group(1)[0] not in "\r\n":
-            prev = m.group(1)
+        w = m.group(1)
+        if w[0] not in "\r\n":
+            if w == "(":
+                heads.append(prev in ("if", "while", "for", "with") and before != "." or prev == "await" and before == "for")
+            elif w == ")" and heads:
+                headed = heads.pop()
+            before, prev = prev, w
         at = m.end()
     return out
 
@@ -229,7 +237,7 @@ def _type_arguments(words: list[str], i: int, inside: frozenset[str], word_ok) -
     stack = [">"]
     j = i + 1
     n = len(words)
-    while j < n and j < i + 4000:
+    while j < n:
         w = words[j]
         c = w[0]
         if w == "<" or w in "([{":
@@ -276,19 +284,22 @@ def _strip_types(words: list[str]) -> list[str]:
     return out
 
 
-def _ts_kinds(words: list[str]) -> list[str]:
+def _ts_kinds(words: list[str]) -> tuple[list[str], list[str]]:
+    """Terminal names, and the words they stand for: type arguments and non-null marks are left out."""
     words = _strip_types(words)
     kinds = _js_kinds(words, True)
     solid = [i for i, k in enumerate(kinds) if k != "\n"]
     at = {i: p for p, i in enumerate(solid)}
-    depth: list[tuple[int, str]] = []
+    depth: list[tuple[int, int]] = []
     opener: dict[int, int] = {}
-    for i in solid:
+    closer: dict[int, int] = {}
+    for p, i in enumerate(solid):
         w = words[i]
         if w in ("(", "[", "{"):
-            depth.append((i, w))
+            depth.append((i, p))
         elif w in (")", "]", "}") and depth:
-            opener[i] = depth.pop()[0]
+            opener[i], q = depth.pop()
+            closer[q] = p
 
     def word(i: int, d: int) -> str:
         p = at[i] + d
@@ -303,12 +314,12 @@ def _ts_kinds(words: list[str]) -> list[str]:
         if w == "?":
             if word(i, 1) in (":", ",", ")", "]", ";", "}"):
                 kinds[i] = "OPT"
-            elif word(i, 1) == "(" and word(i, -2) in ("{", "}", ";", ",", "async", "public", "private", "protected", "abstract", "static") and _closes_to_type(words, solid, at[i] + 1):
+            elif word(i, 1) == "(" and word(i, -2) in ("{", "}", ";", ",", "async", "public", "private", "protected", "abstract", "static") and _closes_to_type(words, solid, closer, at[i] + 1):
                 kinds[i] = "OPT"
         elif w == "!" and (word(i, 1) in (":",) or word(i, -1) and (word(i, -1)[0].isalnum() or word(i, -1)[0] in "_$" or word(i, -1) in (")", "]")) and word(i, 1) not in ("(",) and i and not (i - solid[at[i] - 1] > 1)):
             kinds[i] = "DEF" if word(i, 1) == ":" else "\n!"
         elif w == ":" and word(i, -1) == ")":
-            if _arrow_return(words, solid, at[i] + 1) and word(opener.get(solid[at[i] - 1], i), -1) != "?":
+            if _arrow_return(words, solid, closer, at[i] + 1) and word(opener.get(solid[at[i] - 1], i), -1) != "?":
                 kinds[i] = "RET"
         elif k in ("SOFT", "LABEL", "ID", "as", "static") or w in ("abstract", "implements", "enum"):
             nxt = word(i, 1)
@@ -338,7 +349,8 @@ def _ts_kinds(words: list[str]) -> list[str]:
             elif w in ("as", "satisfies") and word(i, -1) and (word(i, -1) in (")", "]", "}") or word(i, -1)[0].isalnum() or word(i, -1)[0] in "_$\"'`") and (named or nxt in ("{", "[", "(") or nxt[:1] in ("'", '"')) and word(i, -1) not in ("*", "{", ",", "import", "return"):
                 if not _in_spec(words, solid, at[i]):
                     kinds[i] = "CAST"
-    return [k for k in kinds if k != "\n!"]
+    kept = [i for i, k in enumerate(kinds) if k != "\n!"]
+    return [kinds[i] for i in kept], [words[i] for i in kept]
 
 
 def _in_spec(words: list[str], solid: list[int], p: int) -> bool:
@@ -349,35 +361,26 @@ def _in_spec(words: list[str], solid: list[int], p: int) -> bool:
     return q >= 1 and words[solid[q]] == "{" and words[solid[q - 1]] in ("import", "export", "type", ",")
 
 
-def _closes_to_type(words: list[str], solid: list[int], p: int) -> bool:
+def _closes_to_type(words: list[str], solid: list[int], closer: dict[int, int], p: int) -> bool:
     """Whether the parenthesis at ``p`` closes before a colon or brace, as of an optional method."""
-    d = 0
-    for q in range(p, min(len(solid), p + 400)):
-        w = words[solid[q]]
-        d += w in ("(", "[", "{")
-        d -= w in (")", "]", "}")
-        if not d:
-            return q + 1 < len(solid) and words[solid[q + 1]] in (":", "{", ";")
-    return False
+    q = closer.get(p, len(solid))
+    return q + 1 < len(solid) and words[solid[q + 1]] in (":", "{", ";")
 
 
-def _arrow_return(words: list[str], solid: list[int], p: int) -> bool:
+def _arrow_return(words: list[str], solid: list[int], closer: dict[int, int], p: int) -> bool:
     """Whether a type that ends in ``=>`` begins at ``p``."""
-    d = 0
-    for q in range(p, min(len(solid), p + 200)):
+    q, n = p, len(solid)
+    while q < n:
         w = words[solid[q]]
-        if w == "=>" and not d:
-            return words[solid[q - 1]] != ")" or q + 1 < len(solid)
+        if w == "=>":
+            return words[solid[q - 1]] != ")" or q + 1 < n
         if w in ("(", "[", "{"):
-            if w == "{" and not d and q > p and words[solid[q - 1]] not in ("|", "&"):
+            if w == "{" and q > p and words[solid[q - 1]] not in ("|", "&") or q not in closer:
                 return False
-            d += 1
-        elif w in (")", "]", "}"):
-            d -= 1
-            if d < 0:
-                return False
-        elif not d and not (w[0].isalnum() or w[0] in "_$\"'`" or w in (".", "|", "&")) or w in ("return", "const", "if"):
+            q = closer[q]
+        elif not (w[0].isalnum() or w[0] in "_$\"'`" or w in (".", "|", "&")) or w in ("return", "const", "if"):
             return False
+        q += 1
     return False
 
 
@@ -418,13 +421,21 @@ def _check_script(text: str, g: Grammar, ts: bool) -> int | None:
     if text.startswith("#!"):
         text = "//" + text[2:]
     words = _js_words(text + "\n")
-    kinds = _ts_kinds(words) if ts else _js_kinds(words, False)
+    if ts:
+        kinds, words = _ts_kinds(words)
+    else:
+        kinds = _js_kinds(words, False)
     at = g.parse_inserting(kinds, "\n", ";", "}", "INC")
     if at >= 0:
         return _line(words, min(at, len(words) - 1))
+    solid = [i for i, k in enumerate(kinds) if k != "\n"]
+    fresh = {n for n, i in enumerate(solid) if i and kinds[i - 1] == "\n"}
+    fault = script_fault([kinds[i] for i in solid], [words[i] for i in solid], fresh, ts)
+    if fault is not None:
+        return _line(words, solid[fault])
     for i, hole in _holes(words):
         sub = _js_words(hole)
-        kinds = [k for k in (_ts_kinds(sub) if ts else _js_kinds(sub, False)) if k != "\n"]
+        kinds = [k for k in (_ts_kinds(sub)[0] if ts else _js_kinds(sub, False)) if k != "\n"]
         if g.parse(kinds, "expr") >= 0:
             return _line(words, i)
     return None
@@ -666,5 +677,8 @@ def check_java(text: str) -> int | None:
         marks.append(solid[i])
     at = java_grammar().parse(kinds)
     if at < 0:
-        return None
+        fault = java_fault(kinds)
+        if fault is None:
+            return None
+        at = fault
     return _line(words, marks[min(at, len(marks) - 1)]) if marks else 1

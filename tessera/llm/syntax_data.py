@@ -249,6 +249,7 @@ class _Yaml:
         self.levels = [-1]
         self.flow: list[str] = []
         self.fresh = True  # a key may stand here
+        self.anchors: set[str] = set()
         self.pending: tuple[int, int, int] | None = None  # first property of a node: token index, offset, column
 
     def put(self, kind: str, off: int) -> None:
@@ -285,7 +286,8 @@ class _Yaml:
                 self.at += 1
                 self.line_start = self.at
                 if not self.flow:
-                    self.fresh = True
+                    # a property at the end of a line is the collection's below, not its first key's
+                    self.fresh, self.pending = True, None
                 continue
             return
 
@@ -298,6 +300,7 @@ class _Yaml:
                 raise _Fault
             self.unwind(-1)
             self.put("DOCSTART" if c == "-" else "DOCEND", at)
+            self.anchors.clear()
             self.at += 3
             self.fresh, self.pending = False, None
             return
@@ -370,11 +373,15 @@ class _Yaml:
             if not m:
                 raise _Fault
             if c == "*":
+                if m.group()[1:] not in self.anchors:
+                    raise _Fault
                 self.scalar("ALIAS", m.end(), col)
                 return
             if self.pending is None:
                 self.pending = (len(self.out), at, col)
             self.put("ANCHOR" if c == "&" else "TAG", at)
+            if c == "&":
+                self.anchors.add(m.group()[1:])
             self.at = m.end()
             return
         if c == '"' or c == "'":
