@@ -1,12 +1,13 @@
 """Files that no developer of the repository wrote by hand.
 
-Each text is lexed into comments, strings, numbers and the rest, and measured against an approximation of its canonical
-layout, nothing being re-emitted: one line for each semicolon and brace outside strings and comments, in brace languages
-only, where extreme expansion marks minified code; lines that repeat one token shape, tested only in texts filled with
-literals, mark generated data; dominance of numbers and
-encoded strings marks data blobs. Comments (never strings or prose) are searched for the marks that tools and
-importers leave, texts are compared line by line with known third-party files, and names and folders that only tools
-or package managers use count as well.
+Each text is lexed, re-emitted in canonical layout and compared with the layout it has (``layout.py``): extreme
+expansion marks minified code, a layout that repeats itself line by line generated code, dominance of numbers and
+encoded strings data blobs. These reasons come from the layout alone, for every language and every size.
+
+What tools and people lay out alike no layout can tell apart: generated code that went through a formatter,
+third-party copies, migrations. For these there are side reasons: comments (never strings or prose) are searched for the
+marks that tools and importers leave, texts are compared line by line with known third-party files, and names and folders
+that only tools or package managers use count as well. Each row says whether its reasons come from the layout.
 
 Defined results: null texts and files without a text give no row; an empty text is hand-written; repeated rows of a
 file count once; null paths are judged by their text alone.
@@ -23,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm import layout
+
 # Names and folders.
 LOCK_NAMES = re.compile(r"(?:\.lock|(?:^|/)(?:go\.sum|package-lock\.json|npm-shrinkwrap\.json|pnpm-lock\.ya?ml|packages\.lock\.json|bun\.lockb))$")
 TOOL_NAMES = re.compile(r"(?:_pb2(?:_grpc)?\.pyi?|\.pb(?:\.gw)?\.(?:go|cc|h)|_generated\.\w+|_gen\.go|\.g\.(?:ts|dart|cs)|\.gen\.\w+|\.designer\.cs|(?:^|/)zz_generated\.\w+)$")
@@ -43,33 +46,11 @@ VENDOR_MARK = re.compile(
 )
 _ANY_MARK = re.compile(r"generat|do not|gerado|generato|généré|automat|сгенерир|自动|nicht |machine|produced by|created by|rendered|emitted by|written by|overwritten|will be lost|third|upstream|vendored|bundled|distributed", re.I)
 
-_STRINGS = r"\"\"\"[\s\S]*?\"\"\"|'''[\s\S]*?'''|\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\]|\\.)*`"
-_NUMBER = r"(?<![\w$#.])-?(?:0[xX][0-9a-fA-F]+|\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)(?![\w])"
-_COMMENT = {
-    "hash": r"#[^\n]*",
-    "slash": r"//[^\n]*|/\*[\s\S]*?\*/",
-    "dash": r"--[^\n]*|/\*[\s\S]*?\*/",
-    "markup": r"<!--[\s\S]*?-->",
-    "any": r"#[^\n]*|//[^\n]*|/\*[\s\S]*?\*/|--[^\n]*",
-}
-_LEX = {k: re.compile(f"{_STRINGS}|{c}|{_NUMBER}" if k != "markup" else c) for k, c in _COMMENT.items()}
-_START = {"hash": ("#",), "slash": ("//", "/*"), "dash": ("--", "/*"), "markup": ("<!--",), "any": ("#", "//", "/*", "--")}
-_FAMILY = (
-    dict.fromkeys("py pyi pyx sh bash rb pl yaml yml toml env cfg ini conf dockerfile mk tf r lock sum".split(), "hash")
-    | dict.fromkeys("js jsx mjs cjs ts tsx go java c h cc cpp hpp cs css scss less json rs kt swift scala proto php dart".split(), "slash")
-    | dict.fromkeys("sql lua hs".split(), "dash")
-    | dict.fromkeys("md markdown html htm xml svg rst txt vue".split(), "markup")
-)
-#: Languages whose statements end in braces or semicolons, where layout can be compressed.
-_BRACED = frozenset("js jsx mjs cjs ts tsx css scss less java go c h cc cpp hpp cs rs kt swift scala php dart json".split())
-_ENCODED = re.compile(r"^(?:[A-Za-z0-9+/]{24,}={0,2}|[0-9a-fA-F]{16,}|(?:\\x[0-9a-fA-F]{2}){8,})$")
-_SHAPE = ((re.compile(r"\"[^\"]*\"|'[^']*'"), "s"), (re.compile(r"\w*\d[\w.]*"), "n"), (re.compile(r"[A-Za-z_]\w*"), "w"), (re.compile(r"\s+"), " "))
-
 #: Parameters of the layout measures.
-EXPANSION, LEAST_CANONICAL_LINES, LONG_LINE = 5.0, 10, 200
-DOMINANCE, UNIFORM_DOMINANCE, UNIFORM_SHARE, LEAST_LITERALS, LEAST_UNIFORM_LINES = 0.6, 0.35, 0.9, 200, 12
+EXPANSION, UNIFORM, DOMINANCE = 5.0, 0.75, 0.45
+LAYOUT_REASONS = ("minified", "uniform", "data")
 UPSTREAM_SHARE, LINE_CHARS = 0.5, 12
-#: The known third-party files are a fixed table; beyond this size the comparison refuses to broadcast them.
+#: Known third-party files up to this size are broadcast; beyond it their lines are joined.
 KNOWN_BYTES = 64 << 20
 
 
@@ -78,52 +59,12 @@ def extension(path: str | None) -> str:
     return name.rsplit(".", 1)[-1] if "." in name else name
 
 
-def _quoted(tok: str) -> str | None:
-    c = tok[0]
-    if c not in "\"'`" or len(tok) < 2:
-        return None
-    return tok.strip(c)
-
-
-def measure(text: str, ext: str) -> dict[str, float]:
-    """Layout figures of one text: canonical lines, expansion, share of literals, share of the commonest line shape."""
-    family = _FAMILY.get(ext, "any")
-    starts = _START[family]
-    literal = hidden = marks = 0
-    for tok in _LEX[family].findall(text):
-        if tok.startswith(starts):
-            hidden += len(tok)
-            marks += tok.count(";") + tok.count("{") + tok.count("}")
-            continue
-        inner = _quoted(tok)
-        if inner is None:
-            literal += len(tok)
-        else:
-            marks += tok.count(";") + tok.count("{") + tok.count("}")
-            if len(inner) >= 16 and " " not in inner and _ENCODED.match(inner):
-                literal += len(inner)
-    lines = [x for x in text.split("\n") if x.strip()]
-    n = max(1, len(lines))
-    canonical = text.count(";") + text.count("{") + text.count("}") - marks
-    solid = sum(map(str.isalnum, text)) - hidden if literal >= LEAST_LITERALS else 0
-    share = min(1.0, literal / solid) if solid > 0 else 0.0
-    uniform = 0.0
-    if share >= UNIFORM_DOMINANCE and n >= LEAST_UNIFORM_LINES:
-        shapes: Counter[str] = Counter()
-        for x in lines:
-            for pat, sub in _SHAPE:
-                x = pat.sub(sub, x)
-            shapes[x] += 1
-        uniform = shapes.most_common(1)[0][1] / n
-    return {"canonical": canonical, "expansion": canonical / n, "longest": max(map(len, lines), default=0), "literals": share, "uniform": uniform, "lines": n}
-
-
 def _comments(text: str, ext: str) -> Iterator[str]:
     """Comments that begin their line."""
-    family = _FAMILY.get(ext, "any")
-    for m in _LEX[family].finditer(text):
+    family = layout.FAMILY.get(ext, "any")
+    for m in layout.TOKENS[family].finditer(text):
         tok = m.group()
-        if tok.startswith(_START[family]) and not text[text.rfind("\n", 0, m.start()) + 1 : m.start()].strip():
+        if tok.startswith(layout.STARTS[family]) and not text[text.rfind("\n", 0, m.start()) + 1 : m.start()].strip():
             yield tok
 
 
@@ -149,12 +90,12 @@ def reasons(path: str | None, text: str, known: dict[str, frozenset[int]] | None
             if VENDOR_MARK.search(c):
                 out.append("vendor_mark")
                 break
-    f = measure(text, ext)
-    if ext in _BRACED and f["expansion"] >= EXPANSION and f["canonical"] >= LEAST_CANONICAL_LINES and f["longest"] >= LONG_LINE:
+    f = layout.measure(text, ext)
+    if f.expansion >= EXPANSION and ext not in layout.PROSE:
         out.append("minified")
-    if f["literals"] >= DOMINANCE:
+    if f.literals >= DOMINANCE:
         out.append("data")
-    elif f["uniform"] >= UNIFORM_SHARE:
+    elif f.uniform >= UNIFORM and ext not in layout.PROSE | layout.SETTINGS:
         out.append("uniform")
     if known:
         own = {x for x in map(str.strip, text.split("\n")) if len(x) >= LINE_CHARS}
@@ -163,16 +104,16 @@ def reasons(path: str | None, text: str, known: dict[str, frozenset[int]] | None
             for i in known.get(x, ()):
                 hits[i] += 1
         if hits and hits.most_common(1)[0][1] >= UPSTREAM_SHARE * len(own):
-            out.append("upstream")
+            # what layout a third-party copy has says nothing about a generator of this repository
+            out = [*(x for x in out if x != "uniform"), "upstream"]
     return out
 
 
-def known_lines(upstream: DataFrame, text: str = "text") -> dict[str, frozenset[int]]:
-    """Lines of the known third-party files, each with the files that hold it."""
+def known_lines(upstream: DataFrame, text: str = "text") -> dict[str, frozenset[int]] | None:
+    """Lines of the known third-party files, each with the files that hold it; None beyond ``KNOWN_BYTES``."""
     src = upstream.select(upstream[text].alias("text")).filter("text IS NOT NULL").distinct()
-    size = src.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
-    if size > KNOWN_BYTES:
-        raise ValueError(f"the table of known files has {size} bytes; at most {KNOWN_BYTES} can be broadcast")
+    if src.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n > KNOWN_BYTES:
+        return None
     out: dict[str, set[int]] = {}
     for i, row in enumerate(src.toLocalIterator()):
         for x in {x.strip() for x in row.text.split("\n")}:
@@ -181,18 +122,39 @@ def known_lines(upstream: DataFrame, text: str = "text") -> dict[str, frozenset[
     return {x: frozenset(s) for x, s in out.items()}
 
 
+def _line_hashes(df: DataFrame, key: str) -> DataFrame:
+    """``(key, line)``: hashes of the distinct lines of at least ``LINE_CHARS`` characters of each text."""
+    lines = F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")))
+    return df.select(key, F.explode(F.filter(lines, lambda x: F.length(x) >= LINE_CHARS)).alias("x")).select(key, F.xxhash64("x").alias("line"))
+
+
+def upstream_copies(texts: DataFrame, upstream: DataFrame, text: str = "text") -> DataFrame:
+    """``file_id`` of each text that shares enough of its lines with one known file, by a join of line hashes."""
+    own = _line_hashes(texts.select("file_id", "text").distinct(), "file_id")
+    known = _line_hashes(upstream.select(upstream[text].alias("text")).filter("text IS NOT NULL").distinct().withColumn("up", F.xxhash64("text")), "up")
+    total = own.groupBy("file_id").agg(F.count(F.lit(1)).alias("n"))
+    shared = own.join(known, "line").groupBy("file_id", "up").agg(F.count(F.lit(1)).alias("k")).groupBy("file_id").agg(F.max("k").alias("k"))
+    return shared.join(total, "file_id").filter(F.col("k") >= UPSTREAM_SHARE * F.col("n")).select("file_id")
+
+
 def classify_files(files: DataFrame, texts: DataFrame, upstream: DataFrame | None = None, *, file_id: str = "file_id", path: str = "path", text: str = "text") -> DataFrame:
-    """``(file_id, handwritten, reasons)`` of each file with a text; ``reasons`` is a sorted, comma-separated list."""
+    """``(file_id, handwritten, by_layout, reasons)`` of each file with a text; ``reasons`` is a sorted, comma-separated list."""
     spark = files.sparkSession
-    known = spark.sparkContext.broadcast(known_lines(upstream) if upstream is not None else {})
+    lines = known_lines(upstream) if upstream is not None else {}
+    known = spark.sparkContext.broadcast(lines or {})
     paths = files.select(files[file_id].alias("file_id"), files[path].alias("path")).filter("file_id IS NOT NULL").groupBy("file_id").agg(F.min("path").alias("path"))
     src = texts.select(texts[file_id].alias("file_id"), texts[text].alias("text")).filter("text IS NOT NULL")
     both = src.join(paths, "file_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            why = [",".join(sorted(reasons(p, t, known.value))) for p, t in zip(pdf["path"], pdf["text"])]
-            yield pd.DataFrame({"file_id": pdf["file_id"], "handwritten": [not w for w in why], "reasons": why})
-
-    schema = T.StructType([both.schema["file_id"], T.StructField("handwritten", T.BooleanType()), T.StructField("reasons", T.StringType())])
-    return both.mapInPandas(run, schema)
+            why = [sorted(reasons(p, t, known.value)) for p, t in zip(pdf["path"], pdf["text"])]
+            yield pd.DataFrame({"file_id": pdf["file_id"], "reasons": [",".join(w) for w in why]})
+
+    schema = T.StructType([both.schema["file_id"], T.StructField("reasons", T.StringType())])
+    out = both.mapInPandas(run, schema)
+    if lines is None:
+        copies = upstream_copies(src.join(paths.select("file_id"), "file_id"), upstream).withColumn("upstream", F.lit("upstream"))
+        out = out.join(copies, "file_id", "left").withColumn("reasons", F.concat_ws(",", F.when(F.col("upstream").isNull(), F.split("reasons", ",")).otherwise(F.array_sort(F.filter(F.concat(F.split("reasons", ","), F.array("upstream")), lambda x: ~x.isin("", "uniform")))))).drop("upstream")
+    by_layout = F.arrays_overlap(F.split("reasons", ","), F.array(*map(F.lit, LAYOUT_REASONS)))
+    return out.select("file_id", (F.col("reasons") == "").alias("handwritten"), by_layout.alias("by_layout"), "reasons")

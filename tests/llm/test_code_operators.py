@@ -168,10 +168,29 @@ def test_reasons():
     assert why("a.py", 'Q = "SELECT ' + "a_b, " * 200 + '"\n') == [] and why(None, "") == []
 
 
+def test_layout_decides_by_itself():
+    """No names, marks or known lines: what the canonical layout alone tells."""
+    accessors = "".join(f"  public String getField{c}() {{\n    return field{c};\n  }}\n\n  public void setField{c}(String value) {{\n    this.field{c} = value;\n  }}\n\n" for c in "ABCDEFGHIJKLMNOP")
+    assert why("a/Bean.java", f"class Bean {{\n{accessors}}}\n") == ["uniform"]
+    assert why("a.py", ";".join(f"v{i}=f({i},'x')" for i in range(40)) + "\n") == ["minified"]
+    assert why("a.svg", "<svg>" + "".join(f'<g id="a"><path d="M1"/></g>' for _ in range(30)) + "</svg>\n") == ["minified"]
+    assert why("a.sql", "SELECT " + ", ".join(f"column_{c}" for c in "abcdefghijklmnop" * 9) + " FROM t\n") == ["minified"]
+    hand = "import os\n\n\ndef f(a, b=1):\n    # why\n    if a:\n        return b\n    for x in a:\n        print(x)\n    return None\n\n\nclass A:\n    x = 1\n"
+    assert why("a.py", hand) == [] and why("b.md", "One long line of prose. " * 90) == []
+
+
 def test_classify_frame(spark):
     up = spark.createDataFrame([("\n".join(f"def function_{i}(argument):" for i in range(30)),)], "text string")
     files = spark.createDataFrame([(1, "a.py", 0), (1, "a.py", 0), (2, None, 0), (3, "c.py", 0), (4, "d.py", 0)], "file_id long, path string, reasons int")
     texts = spark.createDataFrame([(1, up.first().text + "\nlocal_change = 1"), (2, "x = 1"), (3, ""), (4, None)], "file_id long, text string")
     got = {r.file_id: (r.handwritten, r.reasons) for r in handwritten.classify_files(files, texts, up).collect()}
     assert got == {1: (False, "upstream"), 2: (True, ""), 3: (True, "")}
+    texts = texts.unionByName(texts).unionByName(spark.createDataFrame([(4, "\n".join(up.first().text.split("\n")[:9]) + "\nand_nine_other_lines" * 9)], "file_id long, text string"))
+    assert {r.file_id for r in handwritten.upstream_copies(texts.filter("text IS NOT NULL"), up).collect()} == {1, 4}
+    limit, handwritten.KNOWN_BYTES = handwritten.KNOWN_BYTES, 1
+    try:
+        joined = {r.file_id: (r.handwritten, r.reasons) for r in handwritten.classify_files(files, texts.filter("file_id < 4"), up).collect()}
+    finally:
+        handwritten.KNOWN_BYTES = limit
+    assert joined == got
     assert handwritten.classify_files(files, texts.limit(0)).count() == 0
