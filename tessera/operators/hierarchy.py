@@ -1,10 +1,14 @@
 """Parent-child rows to full hierarchies by tree contraction.
 
-Rounds alternate between raking (all leaves are taken off) and two passes of compression (in unary chains an
-independent set of nodes, chosen by hashed coins, is spliced out and its single child is linked to the grandparent).
-Every removed node is recorded with the link it had. A chain of n nodes is therefore gone after O(log n)
-rounds, and what never goes away is a loop, shrunk to one node that is its own parent. Reversing the records
-gives root, depth and path of all nodes, since a removed node's link always points to one removed later.
+A round takes all leaves off (raking) and, in unary chains, splices out an independent set of nodes chosen by hashed
+coins, whose single child is linked to the grandparent (compression). Every removed node is recorded with its link,
+which after the round points to a node that outlives it. A chain of n nodes is therefore gone after O(log n) rounds,
+and what never goes away is a loop, shrunk to one node that is its own parent. Reversing the records, one join a
+round, gives root, depth and path of all nodes. Sizes shrink and grow by constant factors, so all rounds together read
+and write a constant multiple of the input.
+
+Once at most ``LOCAL_LINKS`` links are left, whatever the size of the input, one task takes them: it rakes them to
+their loops and reverses in the same way, which saves the last rounds' jobs on next to no rows.
 
 Defined results: a parent that is null, empty or not the id of any row makes its node a root (depth 0, path of
 itself); nodes on a loop or below one have depth -1, the smallest id of the loop as root and a null path; rows
@@ -14,12 +18,18 @@ valid one holds; an empty table gives no rows; columns other than tree, node and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint
+from tessera.session import checkpoint, release, ship_package
 
 _KEY = ("tree", "node")
+_STATE = ("tree", "node", "parent", "w", "lo", "seg")
+#: Links that one task may take: with ids of some 40 bytes about 10 MB.
+LOCAL_LINKS = 50_000
 
 
 def _coin(tree: str, node: str, salt: int):
@@ -29,84 +39,119 @@ def _coin(tree: str, node: str, salt: int):
 def resolve_parents(links: DataFrame) -> DataFrame:
     """``(tree, node, parent)`` with one row a node and a null parent for roots."""
     rows = links.select("tree", F.col("node").cast("string").alias("node"), F.nullif(F.col("parent").cast("string"), F.lit("")).alias("parent")).filter(F.col("node").isNotNull())
-    rows = rows.distinct()
-    ids = rows.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known")).distinct()
-    real = rows.join(ids, ["tree", "parent"], "left").withColumn("parent", F.when(F.col("known"), F.col("parent")))
-    return real.groupBy(*_KEY).agg(F.min("parent").alias("parent"))
-
-
-_STATE = ("tree", "node", "parent", "w", "lo", "seg")
-
-
-def _splice(state: DataFrame, step: int, salt: int, with_paths: bool) -> DataFrame:
-    """One compression pass: chosen unary nodes get status ``step``, their child takes over their link."""
-    free = (F.col("status") == 0) & (F.col("inner") == 1) & (F.col("node") != F.col("parent"))
-    state = state.withColumn("status", F.when(free & _coin("tree", "node", salt) & ~_coin("tree", "parent", salt), step).otherwise(F.col("status")))
-    gone = state.filter(F.col("status") == step).select("tree", F.col("node").alias("parent"), *(F.col(c).alias(f"g_{c}") for c in ("node", "parent", "w", "lo", "seg")))
-    moved = (F.col("status") == 0) & F.col("g_parent").isNotNull()
+    ids = rows.select("tree", F.col("node").alias("parent")).distinct()
+    valid = rows.filter(F.col("parent").isNotNull()).join(ids, ["tree", "parent"], "left_semi").select("tree", "node", "parent")
+    return valid.unionByName(rows.withColumn("parent", F.lit(None).cast("string"))).groupBy(*_KEY).agg(F.min("parent").alias("parent"))
+
+
+def _contract(active: DataFrame, r: int, with_paths: bool) -> tuple[DataFrame, dict[str, int]]:
+    """One round on the links that are left, written; status 1: raked leaf, 2: spliced, 0: stays. Also the counts."""
+    kids = active.groupBy("tree", F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("kids"))
+    unary = (F.col("kids") == 1) & (F.col("node") != F.col("parent")) & _coin("tree", "node", r) & ~_coin("tree", "parent", r)
+    state = active.join(kids, list(_KEY), "left").withColumn("status", F.when(F.col("kids").isNull(), 1).when(unary, 2).otherwise(0)).drop("kids")
+    gone = state.filter("status = 2").select("tree", F.col("node").alias("parent"), *(F.col(c).alias(f"g_{c}") for c in ("node", "parent", "w", "lo", "seg")))
+    moved = F.col("g_parent").isNotNull()
     seg = F.when(moved, F.concat("g_seg", F.array("g_node"), "seg")).otherwise(F.col("seg")) if with_paths else F.col("seg")
-    return state.join(gone, ["tree", "parent"], "left").select(
+    after = state.join(gone, ["tree", "parent"], "left").select(
         "tree",
         "node",
-        F.when(moved, F.col("g_parent")).otherwise(F.col("parent")).alias("parent"),
+        F.coalesce("g_parent", "parent").alias("parent"),
         F.when(moved, F.col("w") + F.col("g_w")).otherwise(F.col("w")).alias("w"),
         F.when(moved, F.least("lo", "g_lo", "g_node")).otherwise(F.col("lo")).alias("lo"),
         seg.alias("seg"),
-        "inner",
         "status",
     )
-
-
-def _contract(active: DataFrame, r: int, with_paths: bool) -> DataFrame:
-    """One round on the links that are left. Status 1: raked leaf; 2 and 3: spliced in the first and second pass; 0: stays."""
-    kids = active.groupBy("tree", F.col("parent").alias("node")).agg(F.lit(1).alias("has"))
-    raked = checkpoint(active.join(kids, list(_KEY), "left").withColumn("status", F.when(F.col("has").isNull(), 1).otherwise(0)).drop("has"))
-    inner = raked.filter("status = 0").groupBy("tree", F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("inner"))
-    state = raked.join(inner, list(_KEY), "left").select(*_STATE, F.coalesce("inner", F.lit(0)).alias("inner"), "status")
-    return checkpoint(_splice(_splice(state, 2, 2 * r, with_paths), 3, 2 * r + 1, with_paths).drop("inner"))
-
-
-def resolve_hierarchy(links: DataFrame, *, with_paths: bool = True, max_rounds: int = 200) -> DataFrame:
+    seen = Observation()
+    stays = F.col("status") == 0
+    counted = after.observe(seen, F.count_if(stays & (F.col("node") != F.col("parent"))).alias("open"), F.count_if(stays).alias("left"))
+    return checkpoint(counted), seen
+
+
+def _solve(batches: Iterator[pd.DataFrame], with_paths: bool) -> Iterator[pd.DataFrame]:
+    """Rakes the links of all batches to their loops, then reverses; parents that are no node here are roots."""
+    link: dict[tuple[str, str], tuple] = {}
+    for pdf in batches:
+        for tree, node, parent, w, lo, seg in zip(pdf["tree"], pdf["node"], pdf["parent"], pdf["w"], pdf["lo"], pdf["seg"]):
+            link[tree, node] = ((tree, parent), int(w), lo, [] if seg is None else list(seg))
+    kids: dict[tuple[str, str], int] = {}
+    for up, *_ in link.values():
+        if up in link:
+            kids[up] = kids.get(up, 0) + 1
+    order = [k for k in link if k not in kids]
+    for k in order:
+        up = link[k][0]
+        if up in link:
+            kids[up] -= 1
+            if not kids[up]:
+                order.append(up)
+    done: dict[tuple[str, str], tuple] = {}
+    raked = set(order)
+    for k in link:
+        if k in raked or k in done:
+            continue
+        loop, at = [], k
+        while not loop or at != k:
+            loop.append(at)
+            at = link[at][0]
+        least = min((x for q in loop for x in (q[1], link[q][2]) if x is not None), key=lambda x: x.encode())
+        for q in loop:
+            done[q] = (least, -1, None)
+    for k in reversed(order):
+        up, w, _, seg = link[k]
+        root, depth, path = done.get(up) or (up[1], 0, [up[1]])
+        done[k] = (root, -1, None) if depth < 0 else (root, depth + w, [*path, *seg, k[1]] if with_paths else None)
+    yield pd.DataFrame([(t, n, *v) for (t, n), v in done.items()], columns=["tree", "node", "root", "depth", "path"])
+
+
+def resolve_hierarchy(links: DataFrame, *, with_paths: bool = True, max_rounds: int = 200, local_links: int = LOCAL_LINKS) -> DataFrame:
     """``(tree, node, root, depth[, path])`` of each node of ``links (tree, node, parent)``.
 
-    ``path`` is the array of ids from the root to the node itself.
+    ``path`` is the array of ids from the root to the node itself. The parts of the result are written tables but for
+    the last round's, which is left to the caller's own job.
     """
+    ship_package(links.sparkSession)
     empty = F.expr("cast(array() as array<string>)") if with_paths else F.lit(None).cast("array<string>")
     none = F.lit(None).cast("array<string>")
-    base = checkpoint(resolve_parents(links))
+    seen = Observation()
+    base = checkpoint(resolve_parents(links).observe(seen, F.count_if(F.col("parent").isNotNull()).alias("left")))
     path = F.array("node") if with_paths else none
-    known = [base.filter(F.col("parent").isNull()).select(*_KEY, F.col("node").alias("root"), F.lit(0).alias("depth"), path.alias("path"))]
+    known = base.filter(F.col("parent").isNull()).select(*_KEY, F.col("node").alias("root"), F.lit(0).alias("depth"), path.alias("path"))
     active = base.filter(F.col("parent").isNotNull()).select("tree", "node", "parent", F.lit(1).alias("w"), F.lit(None).cast("string").alias("lo"), empty.alias("seg"))
-    left = active.agg(F.count_if(F.col("node") != F.col("parent")).alias("n")).first().n
+    left = open_ = seen.get["left"]
     records: list[DataFrame] = []
-    for r in range(max_rounds):
-        if not left:
-            break
-        state = _contract(active, r, with_paths)
-        sizes = state.agg(*(F.count_if(F.col("status") == k).alias(f"n{k}") for k in (1, 2, 3)), F.count_if((F.col("status") == 0) & (F.col("node") != F.col("parent"))).alias("n0")).first()
-        records += [state.filter(F.col("status") == k).select(*_STATE) for k in (1, 2, 3) if sizes[f"n{k}"]]
-        active, left = state.filter("status = 0").select(*_STATE), sizes["n0"]
+    while open_ and left > local_links:
+        if len(records) == max_rounds:
+            raise RuntimeError("the contraction did not end")
+        state, counts = _contract(active, len(records), with_paths)
+        left, open_ = counts.get["left"], counts.get["open"]
+        records.append(state)
+        active = state.filter("status = 0").select(*_STATE)
+    if open_:
+        schema = "tree string, node string, root string, depth int, path array<string>"
+        rest = active.coalesce(1).mapInPandas(lambda batches: _solve(batches, with_paths), schema)
+    else:
+        rest = active.select(*_KEY, F.least("node", "lo").alias("root"), F.lit(-1).alias("depth"), none.alias("path"))
     if left:
-        raise RuntimeError("the contraction did not end")
-    known.append(active.select(*_KEY, F.least("node", "lo").alias("root"), F.lit(-1).alias("depth"), none.alias("path")))
-    for rec in reversed(records):
-        up = _union(known).select("tree", F.col("node").alias("parent"), "root", F.col("depth").alias("above"), F.col("path").alias("up_path"))
-        down = rec.join(up, ["tree", "parent"]).select(
-            *_KEY,
-            "root",
-            F.when(F.col("above") < 0, F.lit(-1)).otherwise(F.col("above") + F.col("w")).alias("depth"),
-            (F.concat("up_path", "seg", F.array("node")) if with_paths else none).alias("path"),
+        known = known.unionByName(checkpoint(rest))
+    spent: list[DataFrame] = []
+    for n, state in enumerate(reversed(records)):
+        up = known.select("tree", F.col("node").alias("parent"), "root", F.col("depth").alias("above"), F.col("path").alias("up_path"))
+        down = (
+            state.filter("status > 0")
+            .join(up, ["tree", "parent"])
+            .select(
+                *_KEY,
+                "root",
+                F.when(F.col("above") < 0, F.lit(-1)).otherwise(F.col("above") + F.col("w")).alias("depth"),
+                (F.concat("up_path", "seg", F.array("node")) if with_paths else none).alias("path"),
+            )
         )
-        known.append(checkpoint(down))
-    out = _union(known)
-    return out if with_paths else out.drop("path")
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        known = known.unionByName(down)
+        if n < len(records) - 1:
+            known = checkpoint(known)
+            release(state, *spent)
+            spent = [known]
+    return known if with_paths else known.drop("path")
 
 
 def descendants(hierarchy: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.hierarchy import descendant_counts, descendants, hierarchies, resolve_hierarchy
-from tessera.session import ship_package, table
+from tessera.session import checkpoint, ship_package, table
 
 
 def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = descendant_counts(resolve_hierarchy(_links(spark, sf_dir)))
+    h = descendant_counts(checkpoint(resolve_hierarchy(_links(spark, sf_dir))))
     return h.select(
         "tree",
         F.col("node").alias("node_id"),

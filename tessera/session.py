@@ -38,27 +38,54 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` by a table written into the shared checkpoint folder.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests, notebooks) is a temporary one
-    chosen. A table is used rather than a checkpointed plan because its real size, not the product of the estimates of
-    all joins before it, is what later rounds of an iterative operator are planned with. Tables go when the application ends.
+    The folder is the session's ``spark.checkpoint.dir``; only where that is unset and everything runs on this machine
+    (tests, notebooks) is a temporary one chosen, elsewhere it is an error. A table is used rather than a checkpointed plan because its real size, not the product of the estimates of
+    all joins before it, is what later rounds of an iterative operator are planned with. Tables go with ``release`` or when the application ends.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-ckpt-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+            folder = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        sc.setCheckpointDir(folder)
     path = f"{sc.getCheckpointDir()}/tessera-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if not _tables:
         atexit.register(_drop_tables)
     _tables.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tessera_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables written by ``checkpoint`` that no later result reads."""
+    for df in tables:
+        path = getattr(df, "_tessera_path", None)
+        if path:
+            _delete(df.sparkSession, path)
+            _tables[:] = [t for t in _tables if t[1] != path]
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete all tables written so far: for long sessions, once their results have been stored."""
+    for s, path in [t for t in _tables if t[0] is spark]:
+        _delete(s, path)
+    _tables[:] = [t for t in _tables if t[0] is not spark]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _drop_tables() -> None:
     for spark, path in _tables:
         try:
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # the session may be gone already
             return
 
