@@ -9,6 +9,8 @@ Fitting reads a bounded sample of labelled rows (``SAMPLE_DOCS`` texts of each l
 Labels are wrong in part, so words first vote for the language whose labels they mostly come with, and a sentence enters
 a dictionary only if its own words agree.
 
+Every sentence is compressed with the dictionaries of all languages, whatever its script.
+
 Defined results: null and blank texts have no language; code, identifiers, paths, citations and tables are passed over,
 and a text of nothing else has no language; repeated rows each give their rows.
 """
@@ -53,7 +55,8 @@ _CACHE = 300_000
 _FENCE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)", re.S)
 #: What is passed over: inline code, citations, tags, addresses, link targets, table rules; then identifiers and paths.
 _SPANS = tuple(map(re.compile, (r"`[^`\n]*`", r"\[[A-Za-z]{1,5}[-:][\w:-]+\]", r"<[^<>\n]{1,200}>", r"https?://\S+", r"\]\([^()\s]*\)", r"\|[-:| ]+\|")))
-_PATHLIKE = re.compile(r"(?<!\S)[^\s/_]{0,200}[/_]\S*")
+#: Runs of ideographs are no paths: unspaced scripts write whole paragraphs without a blank.
+_PATHLIKE = re.compile(r"(?<!\S)[^\s/_\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef]{0,200}[/_][^\s\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef]*")
 _END = re.compile(r"[.!?…]+[\"'”’»)\]]*(?=\s|$)|[。！？]+[”」』]*")
 _MARKER = re.compile(r"\s*(?:#{1,6}\s|[-*+•]\s|>|\||\d+[.)]\s)")
 _HEADING = re.compile(r"\s*#{1,6}\s")
@@ -61,7 +64,6 @@ _LEAD = re.compile(r"^[\s#>*+•|\-–—:;,.\d]+")
 _NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
 _WORD = re.compile(r"[^\W\d_]+")
 _INVISIBLE = re.compile("[​-‏‪-‮⁠-⁤﻿­]")
-_SCRIPTS = {"han": re.compile("[⺀-鿿豈-﫿]+"), "cyrillic": re.compile("[Ѐ-ӿ]+"), "greek": re.compile("[Ͱ-Ͽ]+"), "arabic": re.compile("[؀-ۿ]+")}
 _IDEOGRAPHS = re.compile(r"[⺀-鿿豈-﫿]")
 
 
@@ -136,15 +138,6 @@ def sentences(text: str) -> list[tuple[int, int, str, bool]]:
     return [x for x in out if x[2] and _WORD.search(x[2])]
 
 
-def script(s: str) -> str:
-    """Script of most letters of a text: latin, or that of the first other block that has more letters."""
-    if s.isascii():
-        return "latin"
-    found = {name: sum(map(len, block.findall(s))) for name, block in _SCRIPTS.items()}
-    top = max(found, key=found.__getitem__)
-    return top if found[top] * 2 > sum(map(len, _WORD.findall(s))) else "latin"
-
-
 @dataclass(frozen=True)
 class Model:
     """Raw dictionary contents of each language."""
@@ -160,33 +153,22 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.langs = sorted(model.contents)
-        #: Compressors by the script that most letters of their dictionary belong to.
-        self.by_script: dict[str, list] = defaultdict(list)
-        for i, code in enumerate(self.langs):
-            raw = model.contents[code]
-            d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        self.compress = []
+        for code in self.langs:
+            d = zstandard.ZstdCompressionDict(model.contents[code], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=LEVEL)
-            one = zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
-            self.by_script[script(raw.decode("utf-8", "ignore"))].append((i, one.compress))
+            self.compress.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
         self.cache: dict[str, tuple[int, ...] | None] = {}
 
     def cost(self, s: str) -> tuple[int, ...] | None:
-        """Bytes of a normalised sentence in each language; null if it is too short to tell.
-
-        Languages of another script are not tried; they get more than the plain bytes.
-        """
+        """Bytes of a normalised sentence in each language; null if it is too short to tell."""
         got = self.cache.get(s, 0)
         if got != 0:
             return got
         out: tuple[int, ...] | None = None
-        if len(words_of(s)) >= LEAST_WORDS:
-            fit = self.by_script.get(script(s))
-            if fit:
-                raw = s.encode("utf-8")
-                costs = [len(raw) + 16] * len(self.langs)
-                for i, compress in fit:
-                    costs[i] = len(compress(raw))
-                out = tuple(costs)
+        if self.compress and len(words_of(s)) >= LEAST_WORDS:
+            raw = s.encode("utf-8")
+            out = tuple([len(compress(raw)) for compress in self.compress])
         if len(self.cache) > _CACHE:
             self.cache.clear()
         self.cache[s] = out
@@ -308,7 +290,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     return build_model((code, t) for code in sorted(taken) for _, _, t in sorted(taken[code])[:sample_docs])
 
 
-def _scored(df: DataFrame, model: Model, key: str, text: str, fields: list[T.StructField], rows_of) -> DataFrame:
+def _scored(df: DataFrame, model: Model, key: str, text: str, fields: list[T.StructField], rows_of, blank: bool = False) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model.contents)
     holder: dict[str, Scorer] = {}
 
@@ -318,7 +300,9 @@ def _scored(df: DataFrame, model: Model, key: str, text: str, fields: list[T.Str
             rows = [(k, *r) for k, t in zip(pdf["key"], pdf["text"]) for r in rows_of(scorer.segments(t))]
             yield pd.DataFrame(rows, columns=["key", *(f.name for f in fields)])
 
-    src = df.select(df[key].alias("key"), df[text].alias("text")).filter("length(trim(text)) > 0")
+    src = df.select(df[key].alias("key"), F.coalesce(df[text], F.lit("")).alias("text"))
+    if not blank:
+        src = src.filter("length(trim(text)) > 0")
     schema = T.StructType([T.StructField("key", src.schema["key"].dataType), *fields])
     return src.mapInPandas(run, schema).withColumnRenamed("key", key)
 
@@ -329,12 +313,16 @@ def text_segments(df: DataFrame, model: Model, key: str = "doc_id", text: str =
     return _scored(df, model, key, text, fields, lambda segs: [(i, *s) for i, s in enumerate(segs, 1)])
 
 
-def text_languages(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, lang_code, confidence, n_sentences, n_languages, place)``: each language of each text, the main one at place 1."""
+def text_languages(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", *, every_row: bool = False) -> DataFrame:
+    """``(key, lang_code, confidence, n_sentences, n_languages, place)``: each language of each text, the main one at place 1.
+
+    With ``every_row`` a text without a decided language, null and blank ones included, has one row with a null language
+    and confidence 0; otherwise it has none.
+    """
     fields = [T.StructField("lang_code", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("n_sentences", T.IntegerType()), T.StructField("n_languages", T.IntegerType()), T.StructField("place", T.IntegerType())]
 
     def rows_of(segs):
         found = parts(segs)
-        return [(*p, len(found), i) for i, p in enumerate(found, 1)]
+        return [(*p, len(found), i) for i, p in enumerate(found, 1)] or [(None, 0.0, 0, 0, 1)] * every_row
 
-    return _scored(df, model, key, text, fields, rows_of)
+    return _scored(df, model, key, text, fields, rows_of, blank=every_row)

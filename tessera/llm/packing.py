@@ -1,7 +1,8 @@
 """Filling fixed-capacity containers by sum-of-squares packing.
 
 Items are spread over shards by a hash of their key, so that a shard holds a bounded number of items
-whatever the input; in a shard they are placed one by one, largest first. The state is an array with the
+whatever the input, and each shard is a task of its own. In a shard they are placed online: one by one, in the order of
+a second hash, which stands for an arrival that knows nothing of the sizes to come. The state is an array with the
 number of partly filled containers at each fill level; an item goes to the level, or to a new container,
 that minimises the sum of squares of that array (ties: the fullest level). Items above the capacity are
 the only ones split: into full containers and a rest that is packed like any other item.
@@ -57,7 +58,7 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
 def pack(df: DataFrame, key: str, size: str, *, capacity: int, shard_items: int = 25_000, n_items: int | None = None) -> DataFrame:
     """``(key, piece_no, n_pieces, size, container, fill_start)``: where each item, or piece of one, lies.
 
-    ``n_items`` is the number of rows where the caller knows it; otherwise they are counted.
+    ``n_items`` is the number of rows where the caller knows it, as from a table's footers; otherwise they are counted.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
@@ -65,14 +66,13 @@ def pack(df: DataFrame, key: str, size: str, *, capacity: int, shard_items: int
     shards = max(1, math.ceil((src.count() if n_items is None else n_items) / shard_items))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "key"], ascending=[False, True], kind="stable")
+        pdf = pdf.sort_values(["turn", "key", "size"], kind="stable")
         total = np.maximum(pdf["size"].fillna(0).to_numpy(dtype=np.int64), 0)
         pieces = np.maximum(1, -(-total // capacity))
         rows = np.repeat(np.arange(len(pdf)), pieces)
         no = np.arange(len(rows)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         part = np.minimum(capacity, total[rows] - no * capacity)
-        order = np.argsort(-part, kind="stable")
-        order = order[part[order] > 0]
+        order = np.flatnonzero(part > 0)
         where, start = np.full(len(rows), -1), np.full(len(rows), -1)
         where[order], start[order] = sum_of_squares(part[order], capacity)
         shard = int(pdf["shard"].iloc[0])
@@ -88,5 +88,5 @@ def pack(df: DataFrame, key: str, size: str, *, capacity: int, shard_items: int
         )
 
     schema = T.StructType([T.StructField("key", src.schema["key"].dataType), *T._parse_datatype_string(SCHEMA_TAIL).fields])
-    placed = src.withColumn("shard", F.pmod(F.xxhash64("key", F.lit(7)), F.lit(shards)))
+    placed = src.withColumns({"shard": F.pmod(F.xxhash64("key", F.lit(7)), F.lit(shards)), "turn": F.xxhash64("key", F.lit(8))}).repartition(shards, "shard")
     return placed.groupBy("shard").applyInPandas(run, schema).withColumnRenamed("key", key)

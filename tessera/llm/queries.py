@@ -102,7 +102,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = table(spark, sf_dir, "documents")
-    return language.text_languages(docs, language.fit(docs))
+    return language.text_languages(docs, language.fit(docs), every_row=True)
 
 
 def p9_segments(spark: SparkSession, sf_dir: str) -> DataFrame:

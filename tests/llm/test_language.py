@@ -59,3 +59,11 @@ def test_frame(spark):
     assert A.text_segments(df, model).filter("end_char <= start_char").count() == 0
     assert A.text_languages(df, A.fit(df.limit(0))).count() == 0
     assert A.text_languages(df.limit(0), model).count() == 0
+    every = {r.doc_id: (r.lang_code, r.confidence, r.place) for r in A.text_languages(df, model, every_row=True).filter("place = 1").collect()}
+    assert len(every) == len(data) and {every[i] for i in (900, 901, 902, 903)} == {(None, 0.0, 1)}
+
+
+def test_unspaced_paragraph_with_a_slash_is_no_path():
+    zh = "这个报告每天早上都会更新A/B测试的结果。团队会检查所有的仓库并且写下说明。"
+    assert [x[2] for x in A.sentences(zh)][0].startswith("这个报告")
+    assert A.sentences("src/app/main_file.py") == [] and A.sentences("docs/übersicht_neu.md") == []
