@@ -5,11 +5,14 @@ must share a token among the first ``n - ceil(t n) + 1`` tokens of each, whateve
 candidates are the pairs that share a prefix token under every one of several orders; they are intersected before any
 pair is verified on its whole sets.
 
-All orders put rare tokens first. Their frequency class comes from a table of fixed size that all tasks read: exact
+All orders put rare tokens first. Their frequency class comes from two tables of fixed size that all tasks read: exact
 document counts of tokens are aggregated (partial sums first), and the classes of those that occur more than once are
-folded into ``CELLS`` cells. The class is a function of the token alone, so the orders are global, and a token whose
-cell is empty occurs in one class only and can never be shared: such tokens keep their places in the order but are
-neither indexed nor compared. A full table costs speed, never pairs.
+folded into ``CELLS`` cells of each table under independent hashes, the largest in a cell counting. A token's class is the
+smaller of its two cells', so a rare token is taken for a frequent one only if it meets frequent ones in both, however
+many tokens the tables hold. The class is a function of the token alone, so the orders are global, and a token with an
+empty cell occurs in one class only and can never be shared: such tokens keep their places in the order but are neither
+indexed nor compared. Full tables cost speed, never pairs. They are packed by block on the executors, so that the driver
+passes on 2 x ``CELLS`` bytes at most and no rows.
 
 Defined results: null texts and texts with fewer than ``least`` shingles are in no pair; repeated rows of a key count
 once; equal sets have similarity 1; other columns of the input are not read.
@@ -19,9 +22,11 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -30,8 +35,9 @@ from pyspark.sql import types as T
 
 from tessera.session import checkpoint
 
-#: Entries of the table of frequency classes, one byte each.
+#: Cells of each of the two tables of frequency classes, one byte each; a power of two.
 CELLS = 1 << 24
+_BLOCK = 1 << 16
 ORDERS = 3
 _TOKEN_MASK = np.uint64((1 << 48) - 1)
 _WORD = re.compile(r"[a-z0-9_]+")
@@ -118,18 +124,36 @@ def _counts(src: DataFrame, width: int, least: int) -> DataFrame:
     return src.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("df")).filter("df > 1")
 
 
-def frequency_classes(counts: DataFrame) -> np.ndarray:
-    """The fixed-size table: for each cell the largest ceil(log2 df) of its tokens, 0 where no shared token lies."""
-    cell = F.pmod(F.xxhash64("token"), F.lit(CELLS))
-    rows = counts.groupBy(cell.alias("cell")).agg(F.max(F.ceil(F.log2("df"))).cast("byte").alias("class"))
-    out = np.zeros(CELLS, dtype=np.uint8)
-    t = rows.select(F.col("cell").cast("int").alias("cell"), "class").toArrow()
-    out[t.column("cell").to_numpy()] = t.column("class").to_numpy()
-    return out
+def frequency_classes(counts: DataFrame, cells: int | None = None) -> np.ndarray:
+    """Both tables, one after the other: for each cell the largest ceil(log2 df) of its tokens, 0 where no shared token lies."""
+    cells = cells or CELLS
+    h = F.xxhash64("token")
+    at = F.explode(F.array(h.bitwiseAND(F.lit(cells - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(cells - 1)) + cells))
+    rows = counts.select(at.alias("cell"), F.ceil(F.log2("df")).cast("byte").alias("class")).groupBy("cell").agg(F.max("class").alias("class"))
 
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        block = np.zeros(_BLOCK, dtype=np.uint8)
+        block[pdf["cell"].to_numpy() % _BLOCK] = pdf["class"].to_numpy()
+        return pd.DataFrame({"block": [int(pdf["cell"].iloc[0]) // _BLOCK], "bytes": [zlib.compress(block.tobytes(), 1)]})
 
-def _cells(tokens: np.ndarray) -> np.ndarray:
-    """Cells of tokens, as the SQL expression in ``frequency_classes`` gives them (xxHash64 of a long, seed 42)."""
+    out = np.zeros(max(2 * cells, _BLOCK), dtype=np.uint8)
+    packed = rows.groupBy(F.floor(F.col("cell") / _BLOCK)).applyInPandas(pack, "block long, bytes binary")
+    for r in packed.toLocalIterator():
+        out[r.block * _BLOCK : (r.block + 1) * _BLOCK] = np.frombuffer(zlib.decompress(r.bytes), dtype=np.uint8)[: len(out) - r.block * _BLOCK]
+    return out[: 2 * cells]
+
+
+def classes_of(tokens: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Frequency class of each token, 0 for tokens that occur once."""
+    cells = len(table) // 2
+    h = _hash(tokens)
+    low = (h & np.uint64(cells - 1)).astype(np.int64)
+    high = ((h >> np.uint64(32)) & np.uint64(cells - 1)).astype(np.int64)
+    return np.minimum(table[low], table[high + cells]).astype(np.int64)
+
+
+def _hash(tokens: np.ndarray) -> np.ndarray:
+    """The hash that ``frequency_classes`` takes in SQL: xxHash64 of a long, seed 42."""
     p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
     rot = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
     with np.errstate(over="ignore"):
@@ -138,8 +162,7 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
         h = rot(h, 27) * p1 + p4
         h = (h ^ (h >> np.uint64(33))) * p2
         h = (h ^ (h >> np.uint64(29))) * p3
-        h = h ^ (h >> np.uint64(32))
-    return np.mod(h.astype(np.int64), CELLS)
+        return h ^ (h >> np.uint64(32))
 
 
 _DOC_SCHEMA = [
@@ -159,7 +182,7 @@ def _documents(src: DataFrame, classes, width: int, threshold: float, least: int
         shingle, table = Shingler(width), classes.value
         for b in _batches(it):
             tok, off = shingle(b.column("text").to_pylist())
-            cls = table[_cells(tok)].astype(np.int64)
+            cls = classes_of(tok, table)
             rows: list[int] = []
             out: list[list] = [[], [], [], [], [], []]
             for r, (i, j) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):

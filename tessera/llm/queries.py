@@ -34,7 +34,7 @@ def p1_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     out = splitting.split_oversized(table(spark, sf_dir, "chunks"), limit=TOKEN_LIMIT, overlap=TOKEN_OVERLAP, only_oversized=True, with_text=False)
-    return out.filter("piece_no = 1 AND n_pieces > 1").select("chunk_id")
+    return out.filter("piece_no = 1 AND n_pieces > 1").select("chunk_id").distinct()
 
 
 def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,8 @@ hard. The next piece starts ``overlap`` tokens before the cut, moved further bac
 lies within the same distance again.
 
 Defined results: texts within the limit, empty texts included, are one piece; a null text is one piece
-with null text and estimate 0; a null ``start_line`` gives null line numbers; repeated rows of a key count
-once; other columns of the input are not read.
+with null text and estimate 0; a null ``start_line`` gives null line numbers; repeated rows of a key, line and text
+count once and rows that differ each give their pieces, null keys included; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -109,16 +109,14 @@ def split_oversized(
     """``(key, piece_no, n_pieces, start_line, end_line, start_char, end_char, token_estimate, hard_cut, text)``.
 
     Only oversized texts reach Python; the others become one piece in the JVM. With ``only_oversized``
-    the latter are left out, with ``with_text=False`` the pieces' texts are null.
+    the latter are left out, with ``with_text=False`` the pieces' texts are null and pieces, not texts, are shuffled.
     """
     src = df.select(df[key].alias("key"), df[start_line].cast("int").alias("start_line"), df[text].alias("text"))
     big = F.length("text") > limit * CHARS
+    if with_text:
+        src = src.filter(big) if only_oversized else src
+        src = src.withColumns({"h": F.xxhash64("text"), "n": F.length("text")}).dropDuplicates(["key", "start_line", "h", "n"]).drop("h", "n")
     large = src.filter(big)
-    if only_oversized:
-        large = large.dropDuplicates(["key"])
-    else:
-        src = src.dropDuplicates(["key"])
-        large = src.filter(big)
     schema = T.StructType([T.StructField("key", src.schema["key"].dataType), *_SCHEMA.fields])
     out = large.mapInPandas(_pieces(limit, overlap, with_text), schema)
     if not only_oversized:
@@ -138,4 +136,6 @@ def split_oversized(
             (F.col("text") if with_text else F.lit(None).cast("string")).alias("text"),
         )
         out = out.unionByName(small)
+    if not with_text:
+        out = out.distinct()
     return out.withColumnRenamed("key", key)

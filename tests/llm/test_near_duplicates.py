@@ -2,6 +2,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tessera.llm.near_duplicates import NearDuplicates, Shingler, connected, prefix_length
@@ -43,6 +44,29 @@ def test_equals_brute_force(spark, seed, width, t, least):
     assert sum(r.n_links for r in g.values()) >= len(want)
 
 
+@pytest.mark.parametrize("cells", [2, 64])
+def test_full_tables_lose_no_pair(spark, monkeypatch, cells):
+    """Tables with far fewer cells than shared shingles only make the orders coarser."""
+    rows = [r for r in corpus(4) if r[1]]
+    df = spark.createDataFrame(rows, "chunk_id string, text string")
+    pairs = lambda: {(r.key_a, r.key_b) for r in NearDuplicates(df, "chunk_id", "text", width=3, threshold=0.6, least=5).key_pairs().collect()}
+    want = pairs()
+    monkeypatch.setattr("tessera.llm.near_duplicates.CELLS", cells)
+    assert want and pairs() == want
+
+
+def test_tables_equal_the_counts(spark):
+    from tessera.llm.near_duplicates import classes_of, frequency_classes
+
+    tok = np.random.default_rng(1).integers(0, 1 << 48, 900)
+    df = spark.createDataFrame([(int(t), 2 + i % 9) for i, t in enumerate(tok)], "token long, df long")
+    table = frequency_classes(df, 1 << 17)
+    want = np.ceil(np.log2(2 + np.arange(900) % 9)).astype(int)
+    got = classes_of(tok.astype(np.uint64), table)
+    assert (got >= want).all() and (got == want).mean() > 0.99
+    assert (classes_of(np.random.default_rng(2).integers(0, 1 << 48, 900).astype(np.uint64), table) == 0).mean() > 0.99
+
+
 def test_empty_and_bad_parameters(spark):
     df = spark.createDataFrame([], "chunk_id string, text string")
     assert NearDuplicates(df, "chunk_id", "text").key_pairs().count() == 0

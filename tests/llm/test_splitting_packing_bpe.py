@@ -44,6 +44,16 @@ def test_split_frame(spark):
     assert splitting.split_oversized(df.limit(0)).count() == 0
 
 
+def test_rows_that_differ_are_not_folded(spark):
+    rows = [(None, 1, "x " * 300), (None, 1, "y " * 300), (None, 1, "y " * 300), ("a", 1, "z"), ("a", 1, None)]
+    df = spark.createDataFrame(rows, "chunk_id string, start_line int, text string")
+    out = splitting.split_oversized(df, limit=100, overlap=0).collect()
+    assert {r.text for r in out if r.chunk_id == "a"} == {"z", None}
+    assert sum(len(r.text) for r in out if r.chunk_id is None) == 1200
+    small = splitting.split_oversized(df, limit=100, overlap=0, only_oversized=True, with_text=False)
+    assert small.filter("chunk_id IS NOT NULL").count() == 0 and small.count() == small.distinct().count()
+
+
 def test_sum_of_squares_fits():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 101, 800)
