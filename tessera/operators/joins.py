@@ -35,7 +35,10 @@ def resolve(refs: DataFrame, ref_keys: list[str], aliases: DataFrame, alias_keys
     """
     a = aliases.select(*alias_keys, handle, "level").distinct()
     low = a.groupBy(*alias_keys).agg(F.min("level").alias("level"))
-    best = a.join(low, [*alias_keys, "level"]).groupBy(*alias_keys).agg(F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.collect_set(handle)), 1, cap).alias("candidates"))
+    top = a.join(low, [*alias_keys, "level"])
+    # the cut comes before the gathering, so that an alias which thousands share never becomes one long row
+    first = first_per(top, alias_keys, [F.col(handle)], cap).groupBy(*alias_keys).agg(F.array_sort(F.collect_list(handle)).alias("candidates"))
+    best = top.groupBy(*alias_keys).agg(F.count(F.lit(1)).alias("n")).join(first, alias_keys)
     cond = [refs[r].eqNullSafe(best[b]) for r, b in zip(ref_keys, alias_keys)]
     joined = refs.join(best, cond, "left")
     verdict = F.when(F.col("n").isNull(), "no_match").when(F.col("n") == 1, "exact").otherwise("ambiguous")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 K1, B = 1.2, 0.75
 
@@ -34,13 +37,13 @@ def bm25(docs: DataFrame, key: str, text: Column, queries: DataFrame, k: int) ->
     words = queries.select("query_id", F.posexplode(F.regexp_extract_all(F.lower("query"), F.lit("[a-z0-9_]+"), F.lit(0))).alias("phrase", "word"))
     parts = words.select("query_id", "phrase", F.array_remove(F.split("word", "_"), "").alias("parts")).filter(F.size("parts") > 0)
     terms = parts.select("query_id", "phrase", F.size("parts").alias("m"), F.posexplode("parts").alias("at", "term"))
-    toks = postings(docs, key, text)
-    length = toks.groupBy(key).agg(F.count(F.lit(1)).alias("dl"))
-    stats = docs.agg(F.count(F.lit(1)).alias("n_docs")).crossJoin(length.agg(F.sum("dl").alias("total")))
-    hit = toks.join(F.broadcast(terms), "term").groupBy("query_id", "phrase", "m", key, (F.col("pos") - F.col("at")).alias("start")).agg(F.countDistinct("at").alias("got"))
-    tf = hit.filter("got = m").groupBy("query_id", "phrase", key).agg(F.count(F.lit(1)).alias("f"))
+    found = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
+    stats = docs.agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.nullif(F.size(found), F.lit(-1))).alias("total"))
+    toks = docs.select(key, F.size(found).alias("dl"), F.posexplode(found).alias("pos", "term"))
+    hit = toks.join(F.broadcast(terms), "term").groupBy("query_id", "phrase", "m", key, "dl", (F.col("pos") - F.col("at")).alias("start")).agg(F.countDistinct("at").alias("got"))
+    tf = hit.filter("got = m").groupBy("query_id", "phrase", key, "dl").agg(F.count(F.lit(1)).alias("f"))
     df = tf.groupBy("query_id", "phrase").agg(F.count(F.lit(1)).alias("df"))
-    x = tf.join(F.broadcast(df), ["query_id", "phrase"]).join(length, key).crossJoin(F.broadcast(stats))
+    x = tf.join(F.broadcast(df), ["query_id", "phrase"]).crossJoin(F.broadcast(stats))
     raw = F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     idf = F.when(raw > 0, raw).otherwise(1e-6)
     part = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("dl") / (F.col("total") / F.col("n_docs"))))
@@ -49,17 +52,46 @@ def bm25(docs: DataFrame, key: str, text: Column, queries: DataFrame, k: int) ->
     return scored.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).select("query_id", F.col("place").cast("long").alias("place"), key, "score")
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+QUERY_BLOCK, BASE_BLOCK, _STRIPE = 2048, 32768, 4096
 
 
 def cosine_top_k(base: DataFrame, queries: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     """``(query, place, key, score)``: the k rows of ``base`` nearest to each query row, itself excluded.
 
-    All rows are scored exactly. The queries are a stated set; they are spread over blocks that go against all rows.
+    All rows are scored exactly. Both sides are cut into blocks of bounded size by a hash of the key; each pair of blocks
+    is one group, whose matrices are multiplied and of which the best k of each query stay, and these are merged.
+    Null vectors, vectors of length 0 and null keys are in no result.
     """
-    q = queries.select(F.col(key).alias("query"), F.col(vector).alias("qv"), F.sqrt(_dot(F.col(vector), F.col(vector))).alias("qn"))
-    b = base.select(key, F.col(vector).alias("bv"), F.sqrt(_dot(F.col(vector), F.col(vector))).alias("bn"))
-    x = q.join(b, F.col("query") != F.col(key)).select("query", key, F.round(_dot(F.col("qv"), F.col("bv")) / (F.col("qn") * F.col("bn")), 6).alias("score"))
-    w = Window.partitionBy("query").orderBy(F.desc("score"), key)
-    return x.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).select("query", F.col("place").cast("long").alias("place"), key, "score")
+    key_type = base.schema[key].dataType
+    usable = F.col(vector).isNotNull() & F.col(key).isNotNull()
+    q, b = queries.filter(usable).select(F.col(key).alias("key"), F.col(vector).alias("v")), base.filter(usable).select(F.col(key).alias("key"), F.col(vector).alias("v"))
+    n_q, n_b = (max(1, -(-df.count() // size)) for df, size in ((q, QUERY_BLOCK), (b, BASE_BLOCK)))
+    block = lambda n: F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = q.withColumns({"qb": block(n_q)}).withColumn("bb", every(n_b))
+    b = b.withColumns({"bb": block(n_b)}).withColumn("qb", every(n_q))
+
+    def unit(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+        pdf = pdf.drop_duplicates("key") if len(pdf) and not isinstance(pdf["v"].iloc[0], float) else pdf
+        m = np.array([np.asarray(x, dtype=np.float64) for x in pdf["v"]]).reshape(len(pdf), -1)
+        norm = np.sqrt((m * m).sum(axis=1))
+        keep = norm > 0
+        return pdf[keep], m[keep] / norm[keep, None]
+
+    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            (left, a), (right, c) = unit(left), unit(right.sort_values("key", kind="stable"))
+            names, own = right["key"].to_numpy(), left["key"].to_numpy()
+            for at in range(0, len(right), _STRIPE):
+                s = np.round(a @ c[at : at + _STRIPE].T, 6)
+                s[own[:, None] == names[None, at : at + _STRIPE]] = -np.inf
+                # keys ascend in a stripe, so a stable sort breaks ties by key
+                best = np.argsort(-s, axis=1, kind="stable")[:, :k]
+                out += [(o, names[at + j], s[i, j]) for i, o in enumerate(own) for j in best[i] if s[i, j] > -np.inf]
+        return pd.DataFrame(out, columns=["query", "key", "score"])
+
+    schema = T.StructType([T.StructField("query", key_type), T.StructField("key", key_type), T.StructField("score", T.DoubleType())])
+    near = q.groupBy("qb", "bb").cogroup(b.groupBy("qb", "bb")).applyInPandas(score, schema)
+    w = Window.partitionBy("query").orderBy(F.desc("score"), "key")
+    return near.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).select("query", F.col("place").cast("long").alias("place"), F.col("key").alias(key), "score")

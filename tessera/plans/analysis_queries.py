@@ -41,7 +41,8 @@ def scan_packs(spark: SparkSession, d: str) -> DataFrame:
 
 def scan_digest(spark: SparkSession, d: str) -> DataFrame:
     """The first twenty hits of each pack with totals."""
-    x = digest(_scan(spark, d), ["path", "line_no", "file_id"], 20)
+    hits = checkpoint(_scan(spark, d).select("pack", "path", "file_id", "line_no", F.substring("line", 1, 240).alias("line")))
+    x = digest(hits, ["path", "line_no", "file_id"], 20)
     return x.select("pack", "file_id", F.col("line_no").cast("long").alias("line_no"), F.substring("line", 1, 240).alias("text"), "place", "total", "truncated")
 
 
@@ -212,7 +213,8 @@ def lane_files(spark: SparkSession, d: str) -> DataFrame:
     """Of E1 and J19 the lookup by path, without range anchors and spans: of each document with a path: the first three chunks of that file, or why there are none."""
     docs = table(spark, d, "documents").filter("path IS NOT NULL").select("doc_id", "repo", "path")
     c = one_per_key(table(spark, d, "chunks"), "chunk_id", ["repo", "path", "start_line"])
-    top = first_per(docs.join(c, ["repo", "path"]), ["doc_id"], [F.col("start_line"), F.col("chunk_id")], 3).select("doc_id", "place", "chunk_id")
+    first = first_per(c.filter("path IS NOT NULL"), ["repo", "path"], [F.col("start_line"), F.col("chunk_id")], 3)
+    top = docs.join(first, ["repo", "path"]).select("doc_id", "place", "chunk_id")
     known = _files(spark, d).select("repo", "path", F.lit(True).alias("known")).distinct()
     lost = docs.join(top.select("doc_id").distinct(), "doc_id", "left_anti").join(known, ["repo", "path"], "left")
     return top.withColumn("state", F.lit("hit")).unionByName(lost.select("doc_id", F.lit(None).cast("long").alias("place"), F.lit(None).cast("string").alias("chunk_id"), F.when(F.col("known"), "no_hits").otherwise("unresolved").alias("state")))

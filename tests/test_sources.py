@@ -44,3 +44,30 @@ def test_stream_index(spark, tmp_path):
     q = stream_index(spark.readStream.schema("chunk_id string, text string").parquet(src), out, str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert sorted(spark.read.parquet(out).collect()) == [("a", "x", 2), ("a", "y", 1)]
+
+
+def test_repository_prunes_by_metadata(spark, tmp_path, monkeypatch):
+    """Ignored folders and files above the cap never reach the scan."""
+    for name, size in {"a.py": 3, "node_modules/b.js": 4, ".git/objects/c": 5, "big.txt": 400}.items():
+        f = tmp_path / "r" / name
+        f.parent.mkdir(parents=True, exist_ok=True)
+        f.write_bytes(b"x" * size)
+    monkeypatch.setattr("tessera.sources.repository.READ_CAP", 100)
+    df = read_repository(spark, str(tmp_path / "r"), "demo")
+    got = {r.path: (r.size_bytes, r.text, r.sha256 is None) for r in df.collect()}
+    assert got == {"a.py": (3, "xxx", False), "big.txt": (400, None, True)}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "_metadata" in plan or "file_path" in plan
+
+
+def test_stream_index_replaces_and_replays(spark, tmp_path):
+    from tessera.streaming.reindex import index_batch, read_index, search_index
+
+    out = str(tmp_path / "ix")
+    frame = lambda rows: spark.createDataFrame(rows, "chunk_id string, text string")
+    first, second = frame([("a", "x x y"), ("b", "y"), (None, "q")]), frame([("a", "z"), ("c", "x y")])
+    for n, df in ((0, first), (1, second), (1, second), (2, frame([("b", None)]))):
+        index_batch(df, n, out)
+    ix = read_index(spark, out)
+    assert sorted(ix.collect()) == [("a", "z", 1), ("c", "x", 1), ("c", "y", 1)]
+    assert [(r.place, r.chunk_id) for r in search_index(ix, ["x", "z"]).collect()] == [(1, "a"), (2, "c")]
