@@ -37,7 +37,7 @@ from tessera.session import checkpoint
 
 #: Cells of each of the two tables of frequency classes, one byte each; a power of two.
 CELLS = 1 << 24
-_BLOCK = 1 << 16
+_BLOCK, _MERGES = 1 << 16, 32
 ORDERS = 3
 _TOKEN_MASK = np.uint64((1 << 48) - 1)
 _WORD = re.compile(r"[a-z0-9_]+")
@@ -125,44 +125,49 @@ def _counts(src: DataFrame, width: int, least: int) -> DataFrame:
 
 
 def frequency_classes(counts: DataFrame, cells: int | None = None) -> np.ndarray:
-    """Both tables, one after the other: for each cell the largest ceil(log2 df) of its tokens, 0 where no shared token lies."""
+    """Both tables, one after the other: for each cell the largest ceil(log2 df) of its tokens, 0 where no shared token lies.
+
+    Every task fills tables of its own, and what is shuffled and sent on are their compressed blocks.
+    """
     cells = cells or CELLS
-    h = F.xxhash64("token")
-    at = F.explode(F.array(h.bitwiseAND(F.lit(cells - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(cells - 1)) + cells))
-    rows = counts.select(at.alias("cell"), F.ceil(F.log2("df")).cast("byte").alias("class")).groupBy("cell").agg(F.max("class").alias("class"))
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        block = np.zeros(_BLOCK, dtype=np.uint8)
-        block[pdf["cell"].to_numpy() % _BLOCK] = pdf["class"].to_numpy()
-        return pd.DataFrame({"block": [int(pdf["cell"].iloc[0]) // _BLOCK], "bytes": [zlib.compress(block.tobytes(), 1)]})
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = np.zeros(max(2 * cells, _BLOCK), dtype=np.uint8)
+        for pdf in batches:
+            if len(pdf):
+                cls = np.ceil(np.log2(pdf["df"].to_numpy(dtype=np.float64))).astype(np.uint8)
+                order = np.argsort(cls, kind="stable")  # of equal cells the last written, the largest, stays
+                for at in _cells(pdf["token"].to_numpy().astype(np.uint64)[order], cells):
+                    own[at] = np.maximum(own[at], cls[order])
+        blocks = np.flatnonzero(own.reshape(-1, min(_BLOCK, len(own))).any(axis=1))
+        yield pd.DataFrame({"block": blocks, "bytes": [zlib.compress(own[b * _BLOCK : (b + 1) * _BLOCK].tobytes(), 1) for b in blocks]})
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for b, raw in zip(pdf["block"].tolist(), pdf["bytes"]):
+                x = np.frombuffer(zlib.decompress(raw), dtype=np.uint8)
+                got[b] = np.maximum(got[b], x) if b in got else x
+        yield pd.DataFrame({"block": list(got), "bytes": [zlib.compress(x.tobytes(), 1) for x in got.values()]})
 
     out = np.zeros(max(2 * cells, _BLOCK), dtype=np.uint8)
-    packed = rows.groupBy(F.floor(F.col("cell") / _BLOCK)).applyInPandas(pack, "block long, bytes binary")
-    for r in packed.toLocalIterator():
-        out[r.block * _BLOCK : (r.block + 1) * _BLOCK] = np.frombuffer(zlib.decompress(r.bytes), dtype=np.uint8)[: len(out) - r.block * _BLOCK]
+    schema = "block long, bytes binary"
+    for r in counts.mapInPandas(fill, schema).repartition(_MERGES, "block").mapInPandas(merge, schema).collect():
+        out[r.block * _BLOCK : (r.block + 1) * _BLOCK] = np.frombuffer(zlib.decompress(r.bytes), dtype=np.uint8)
     return out[: 2 * cells]
 
 
-def classes_of(tokens: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Frequency class of each token, 0 for tokens that occur once."""
-    cells = len(table) // 2
-    h = _hash(tokens)
-    low = (h & np.uint64(cells - 1)).astype(np.int64)
-    high = ((h >> np.uint64(32)) & np.uint64(cells - 1)).astype(np.int64)
-    return np.minimum(table[low], table[high + cells]).astype(np.int64)
+def _cells(tokens: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of each token's two cells."""
+    h = _mix(tokens, 7)
+    mask = np.uint64(cells - 1)
+    return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64) + cells
 
 
-def _hash(tokens: np.ndarray) -> np.ndarray:
-    """The hash that ``frequency_classes`` takes in SQL: xxHash64 of a long, seed 42."""
-    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-    rot = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
-    with np.errstate(over="ignore"):
-        h = np.uint64(42) + p5 + np.uint64(8)
-        h = h ^ (rot(tokens * p2, 31) * p1)
-        h = rot(h, 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-        return h ^ (h >> np.uint64(32))
+def classes_of(tokens: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Frequency class of each token, 0 for tokens that occur once."""
+    low, high = _cells(tokens, len(table) // 2)
+    return np.minimum(table[low], table[high]).astype(np.int64)
 
 
 _DOC_SCHEMA = [
