@@ -11,15 +11,15 @@ from tessera.plans import registry
 
 TS = dt.datetime(2026, 1, 1)
 TABLES = {
-    "files": ("file_id long, repo string, path string", [(1, "r", "src/a.py"), (1, "r", "src/a.py"), (2, "r", "docs/b.md"), (3, "r", "c.toml"), (4, "q", "d.yaml"), (5, "q", "x/e.dockerfile"), (6, "r", "tests/test_a.py"), (None, "q", "x"), (7, "q", None)]),
+    "files": ("file_id long, repo string, path string, line_count long", [(1, "r", "src/a.py", 3), (1, "r", "src/a.py", 3), (2, "r", "docs/b.md", 7), (3, "r", "c.toml", 3), (4, "q", "d.yaml", None), (5, "q", "x/e.dockerfile", 3), (6, "r", "tests/test_a.py", 0), (None, "q", "x", 1), (7, "q", None, 1)]),
     "file_texts": ("file_id long, text string", [(1, "import os\nclass A:\n    pass\n"), (2, "# T\n\n## U\ntext\n```\n# no\n```"), (3, "a = 1\n[s]\nb = 2"), (4, "k:\n  v: 1\nm: 2\n"), (5, "FROM a AS b\nRUN x\nFROM c\n"), (6, ""), (7, "zz")]),
     "chunks": (
-        "chunk_id string, repo string, path string, start_line int, end_line int, chunk_type string, symbol_name string, heading_path string, sha256 string, text string, indexed_at timestamp, loaded_at timestamp",
-        [("c1", "r", "src/a.py", 1, 3, "class", "A", None, "s1", "class A parser list", TS, TS), ("c1", "r", "src/a.py", 1, 3, "class", "A", None, "s1", "class A parser list", TS, TS + dt.timedelta(1)), ("c2", "r", "docs/b.md", 1, 4, "doc_section", None, "T > U", None, "release note parser", TS, TS), ("c3", "q", None, None, None, "x", None, None, None, None, TS, TS), (None, "q", "x", 1, 1, "x", None, None, None, "t", TS, TS)],
+        "chunk_id string, repo string, path string, start_line int, end_line int, chunk_type string, symbol_name string, heading_path string, sha256 string, text string, indexed_at timestamp, loaded_at timestamp, decorators array<string>",
+        [("c1", "r", "src/a.py", 1, 3, "class", "A", None, "s1", "class A parser list", TS, TS, ['app.get("/x/<id>")', "x"]), ("c1", "r", "src/a.py", 1, 3, "class", "A", None, "s1", "class A parser list", TS, TS + dt.timedelta(1), ['app.get("/x/<id>")', "x"]), ("c2", "r", "docs/b.md", 1, 4, "doc_section", None, "T > U", None, "release note parser", TS, TS, ['app.put("/x/<id>")', 'app.get("/none")']), ("c3", "q", None, None, None, "x", None, None, None, None, TS, TS, None), (None, "q", "x", 1, 1, "x", None, None, None, "t", TS, TS, [])],
     ),
     "symbols": (
-        "symbol_id string, repo string, path string, name string, kind string, module string, parent_symbol_id string, bases array<string>, start_line int, end_line int",
-        [("m/", "r", "src/a.py", "a", "module", "a", None, [], 1, 3), ("m/A#", "r", "src/a.py", "A", "class", "a", "m/", ["B"], 2, 3), ("m/A#", "r", "src/a.py", "A", "class", "a", "m/", ["B"], 2, 3), ("l1", "r", "z", "B", "class", "z", "l2", [], 1, 9), ("l2", "r", "z", "C", "class", "z", "l1", None, 1, 9)],
+        "symbol_id string, repo string, path string, name string, kind string, module string, parent_symbol_id string, bases array<string>, start_line int, end_line int, span_id string, decorators array<string>",
+        [("m/", "r", "src/a.py", "a", "module", "a", None, [], 1, 3, "span:src/a.py:1-3:module", []), ("m/A#", "r", "src/a.py", "A", "class", "a", "m/", ["B"], 2, 3, "span:src/a.py:2-3:class", ['app.get("/x/<id>")', '@r.api.post("/v1/y")']), ("m/A#", "r", "src/a.py", "A", "class", "a", "m/", ["B"], 2, 3, "span:src/a.py:2-3:class", ['app.get("/x/<id>")', '@r.api.post("/v1/y")']), ("l1", "r", "z", "B", "class", "z", "l2", [], 1, 9, None, None), ("l2", "r", "z", "C", "class", "z", "l1", None, 1, 9, "sp2", [])],
     ),
     "sections": (
         "section_id string, repo string, title string, section_role string, priority string, parent_section_id string, markdown string, used_evidence_ids array<string>, covered_topics array<string>, page_profile string, section_order int, coverage_labels array<string>",
