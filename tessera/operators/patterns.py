@@ -38,10 +38,12 @@ def scannable(path: str):
     return ~F.exists(F.split(F.col(path), "/"), lambda p: p.isin(*SKIPPED))
 
 
-def scan(lines: DataFrame, keys: list[str], path: str) -> DataFrame:
-    """``keys``, pack, line_no, line, n_matches, first_match of each matching line; one pass over the lines for all packs."""
+def scan(lines: DataFrame, keys: list[str], path: str, packs: tuple[str, ...] | None = None) -> DataFrame:
+    """``keys``, pack, line_no, line, n_matches, first_match of each matching line; one pass over the lines for all packs, or those named."""
     tests = []
     for name, (pattern, ends, _) in PACKS.items():
+        if packs is not None and name not in packs:
+            continue
         fits = reduce(lambda a, b: a | b, [F.col(path).endswith(e) for e in ends.split()])
         tests.append(F.when(fits & F.col("line").rlike(pattern), F.struct(F.lit(name).alias("pack"), F.size(F.regexp_extract_all("line", F.lit(pattern), F.lit(0))).alias("n_matches"), F.regexp_extract("line", pattern, 0).alias("first_match"))))
     hits = lines.filter(scannable(path)).withColumn("hit", F.explode(F.filter(F.array(*tests), lambda x: x.isNotNull())))
