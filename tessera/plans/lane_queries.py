@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
+from tessera.operators.index import ensure_index, index_state, search
 from tessera.operators.joins import first_per, overlap_join, suffixes
 from tessera.operators.patterns import scan
 from tessera.operators.ranking import allocate
 from tessera.operators.tables import one_per_key
 from tessera.plans.analysis_queries import _F, _SCAN, _lines
 from tessera.plans.inventory_queries import _CLASS
-from tessera.session import checkpoint, ship_package, table
+from tessera.session import checkpoint, shared_path, ship_package, table
 
 LANE_CAP, SECTION_CAP = 8, 40
 # The verbs of route decorators.
@@ -217,6 +218,26 @@ def _hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return asked, got
 
 
+SEARCHES = {"q1": "list_items of the chunk index", "q2": "describing changed summaries", "q3": "release notes parser", "q4": "retrieval lanes symbols", "q5": "evidence packets waiting"}
+
+
+def index_search(spark: SparkSession, d: str) -> DataFrame:
+    """The stored index of all documents, built and verified, searched by stems and phrases."""
+    docs, path = table(spark, d, "documents"), shared_path(spark, "index")
+    ensure_index(docs, "doc_id", "text", path)
+    return search(spark, path, SEARCHES, "doc_id")
+
+
+def index_states(spark: SparkSession, d: str) -> DataFrame:
+    """What is found of an index that is not there, is fresh, is forced, and whose corpus has changed."""
+    docs, path = table(spark, d, "documents"), shared_path(spark, "index")
+    steps = [("first", ensure_index(docs, "doc_id", "text", path)), ("again", ensure_index(docs, "doc_id", "text", path)), ("forced", ensure_index(docs, "doc_id", "text", path, force=True))]
+    changed = docs.select("doc_id", F.when(F.col("doc_id") == 1, F.lit("changed")).otherwise(F.col("text")).alias("text"))
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, "new")], "doc_id long, text string"))
+    steps += [("changed", index_state(spark, path, changed, "doc_id", "text")), ("grown", index_state(spark, path, more, "doc_id", "text"))]
+    return spark.createDataFrame(steps, "step string, state string")
+
+
 def coverage_exact(spark: SparkSession, d: str) -> DataFrame:
     """What each exact request of a module page kept under the caps: covered, starved_by_cap or no_hits.
 
@@ -271,11 +292,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         lane_file_ranges, lane_file_chunks, lane_symbols, lane_packs, operations, contract_requests, lane_tests,
-        resolve_symbol_forms, resolve_tests, anchor_forms, coverage_exact, lane_totals,
+        resolve_symbol_forms, resolve_tests, anchor_forms, coverage_exact, lane_totals, index_search, index_states,
     )
 }
 
 ORACLE = {
+    "index_states": "SELECT * FROM (VALUES ('first', 'missing'), ('again', 'verified'), ('forced', 'forced'), ('changed', 'stale'), ('grown', 'stale')) t(step, state)",
     "lane_file_ranges": f"WITH {_BASE} SELECT * FROM {_RANGED}",
     "lane_file_chunks": f"""WITH {_BASE} SELECT q.repo, q.path, t.place, t.hit, CASE WHEN t.hit IS NOT NULL THEN '' WHEN k.path IS NOT NULL THEN 'no_hits' ELSE 'missing_reference' END AS reason
 FROM (SELECT DISTINCT repo, path FROM documents WHERE path IS NOT NULL) q LEFT JOIN (SELECT DISTINCT repo, path FROM f) k ON q.repo = k.repo AND q.path = k.path LEFT JOIN {_TOP} t ON q.repo = t.repo AND q.path = t.path""",

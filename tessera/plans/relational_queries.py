@@ -176,8 +176,9 @@ def rank_classes(spark: SparkSession, d: str) -> DataFrame:
 def agg_facets(spark: SparkSession, d: str) -> DataFrame:
     """Folders of each repository by number of files: the twelve largest with their first paths."""
     f = _files(spark, d).filter("path LIKE '%/%'").withColumn("dir", F.regexp_replace("path", "/[^/]*$", ""))
-    g = f.groupBy("repo", "dir").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.slice(F.array_sort(F.collect_set("path")), 1, 15), "|").alias("paths"))
-    return first_per(g, ["repo"], [F.desc("n"), F.col("dir")], 12).select("repo", "dir", "n", "paths", "place")
+    top = first_per(f.groupBy("repo", "dir").agg(F.count(F.lit(1)).alias("n")), ["repo"], [F.desc("n"), F.col("dir")], 12)
+    few = first_per(f.select("repo", "dir", "path").distinct(), ["repo", "dir"], [F.col("path")], 15, "at").groupBy("repo", "dir").agg(F.array_join(F.array_sort(F.collect_list("path")), "|").alias("paths"))
+    return top.join(few, ["repo", "dir"]).select("repo", "dir", "n", "paths", "place")
 
 
 def agg_token_bank(spark: SparkSession, d: str) -> DataFrame:
@@ -260,9 +261,9 @@ def rank_cap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rank_allocate(spark: SparkSession, d: str) -> DataFrame:
-    """Kept hits of each section under lane and section caps."""
+    """Kept hits of each page under lane and section caps; a page is a file, so what is gathered is bounded by one."""
     ship_package(spark)
-    x = fold_hits(_hits(spark, d))
+    x = fold_hits(_hits(spark, d).withColumn("section_id", F.concat_ws("/", "section_id", "path")))
     w = Window.partitionBy("section_id").orderBy(order_of(CONFIDENCES, "confidence"), order_of(LANES, "lane"), "path", "start_line", "dedupe_key")
     req = F.when(F.col("lane").isin("file_anchor", "symbol_anchor"), F.array(F.concat_ws("|", "lane", "path"))).otherwise(F.expr("cast(array() as array<string>)"))
     return allocate(x.select("section_id", F.col("dedupe_key").alias("item"), "lane", F.row_number().over(w).alias("place"), req.alias("requests")))

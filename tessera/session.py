@@ -35,14 +35,20 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` by a table written into the shared checkpoint folder.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder; it goes like the tables of ``checkpoint``."""
+    path = f"{_folder(spark)}/tessera-{name}-{uuid.uuid4().hex}"
+    _remember(spark, path)
+    return path
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset and everything runs on this machine
-    (tests, notebooks) is a temporary one chosen, elsewhere it is an error. A table is used rather than a checkpointed plan because its real size, not the product of the estimates of
-    all joins before it, is what later rounds of an iterative operator are planned with. Tables go with ``release`` or when the application ends.
-    """
-    spark = df.sparkSession
+
+def _remember(spark: SparkSession, path: str) -> None:
+    if not _tables:
+        atexit.register(_drop_tables)
+    _tables.append((spark, path))
+
+
+def _folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -51,11 +57,20 @@ def checkpoint(df: DataFrame) -> DataFrame:
                 raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
             folder = tempfile.mkdtemp(prefix="tessera-ckpt-")
         sc.setCheckpointDir(folder)
-    path = f"{sc.getCheckpointDir()}/tessera-{uuid.uuid4().hex}"
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` by a table written into the shared checkpoint folder.
+
+    The folder is the session's ``spark.checkpoint.dir``; only where that is unset and everything runs on this machine
+    (tests, notebooks) is a temporary one chosen, elsewhere it is an error. A table is used rather than a checkpointed plan because its real size, not the product of the estimates of
+    all joins before it, is what later rounds of an iterative operator are planned with. Tables go with ``release`` or when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{_folder(spark)}/tessera-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if not _tables:
-        atexit.register(_drop_tables)
-    _tables.append((spark, path))
+    _remember(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tessera_path = path
     return out
