@@ -7,46 +7,97 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Extension -> language, by language.
+# Extension -> language.
 EXTENSIONS = {
-    "python": ".py .pyi .pyx",
-    "go": ".go",
-    "typescript": ".ts",
-    "tsx": ".tsx",
-    "javascript": ".js .mjs .cjs",
-    "jsx": ".jsx",
-    "c": ".c .h",
-    "cpp": ".cc .cpp .cxx .hpp .hh",
-    "java": ".java",
-    "rust": ".rs",
-    "ruby": ".rb",
-    "php": ".php",
-    "shell": ".sh .bash .zsh",
-    "sql": ".sql",
-    "markdown": ".md .mdx",
-    "rst": ".rst",
-    "text": ".txt",
-    "toml": ".toml",
-    "ini": ".ini .cfg",
-    "yaml": ".yaml .yml",
-    "json": ".json .json5",
-    "dotenv": ".env",
-    "template": ".tmpl .tpl",
-    "jinja": ".j2",
-    "html": ".html .htm",
-    "css": ".css",
-    "less": ".less",
-    "scss": ".scss",
-    "vue": ".vue",
-    "svelte": ".svelte",
-    "dockerfile": ".dockerfile",
-    "protobuf": ".proto",
+    ".py": "python",
+    ".pyi": "python",
+    ".pyx": "python",
+    ".go": "go",
+    ".ts": "typescript",
+    ".tsx": "tsx",
+    ".js": "javascript",
+    ".mjs": "javascript",
+    ".cjs": "javascript",
+    ".jsx": "jsx",
+    ".c": "c",
+    ".h": "c",
+    ".cc": "cpp",
+    ".cpp": "cpp",
+    ".cxx": "cpp",
+    ".hpp": "cpp",
+    ".hh": "cpp",
+    ".java": "java",
+    ".rs": "rust",
+    ".rb": "ruby",
+    ".php": "php",
+    ".sh": "shell",
+    ".bash": "shell",
+    ".zsh": "shell",
+    ".sql": "sql",
+    ".md": "markdown",
+    ".mdx": "markdown",
+    ".rst": "rst",
+    ".txt": "text",
+    ".toml": "toml",
+    ".ini": "ini",
+    ".cfg": "ini",
+    ".yaml": "yaml",
+    ".yml": "yaml",
+    ".json": "json",
+    ".json5": "json",
+    ".env": "dotenv",
+    ".tmpl": "template",
+    ".tpl": "template",
+    ".j2": "jinja",
+    ".html": "html",
+    ".htm": "html",
+    ".css": "css",
+    ".less": "less",
+    ".scss": "scss",
+    ".vue": "vue",
+    ".svelte": "svelte",
+    ".dockerfile": "dockerfile",
+    ".proto": "protobuf",
 }
 # Extensions of files that are listed but never read.
 BINARY = (
-    ".png .jpg .jpeg .gif .svg .ico .webp .bmp .pdf .woff .woff2 .ttf .otf .eot .zip .gz .tar .whl .so .dylib .dll .bin"
-    " .mp4 .mp3 .wav .pyc .o .a .class .jar .parquet .npy .pkl .pem .faiss .sqlite"
-).split()
+    ".png",
+    ".jpg",
+    ".jpeg",
+    ".gif",
+    ".svg",
+    ".ico",
+    ".webp",
+    ".bmp",
+    ".pdf",
+    ".woff",
+    ".woff2",
+    ".ttf",
+    ".otf",
+    ".eot",
+    ".zip",
+    ".gz",
+    ".tar",
+    ".whl",
+    ".so",
+    ".dylib",
+    ".dll",
+    ".bin",
+    ".mp4",
+    ".mp3",
+    ".wav",
+    ".pyc",
+    ".o",
+    ".a",
+    ".class",
+    ".jar",
+    ".parquet",
+    ".npy",
+    ".pkl",
+    ".pem",
+    ".faiss",
+    ".sqlite",
+)
 # Marks of the category cascade.
 VENDOR_PARTS = ("web/dist/", "web/node_modules/", "/dist/", "/.next/", "/vendor/", "/third_party/", "/thirdparty/", "/external/", "/site-packages/")
 GENERATED_NAMES = ("uv.lock", "go.sum", "package-lock.json", "yarn.lock", "pnpm-lock.yaml", "poetry.lock", "Cargo.lock", "composer.lock")
@@ -76,7 +127,7 @@ def top_dir(path: Column) -> Column:
 def language_for(ext: Column, name: Column) -> Column:
     """Names win over extensions; everything unknown is ``other``."""
     low = F.lower(name)
-    table = F.create_map(*(F.lit(x) for lang, exts in EXTENSIONS.items() for e in exts.split() for x in (e, lang)))
+    table = F.create_map(*(F.lit(x) for kv in EXTENSIONS.items() for x in kv))
     return (
         F.when(low.startswith("dockerfile"), "dockerfile")
         .when(low.isin("go.mod", "go.sum"), "go-mod")
@@ -118,7 +169,7 @@ def classify(path: Column) -> Column:
         | any_of([low.endswith(e) for e in ("_test.go", "_test.py", ".test.ts", ".test.tsx", ".spec.ts")])
     )
     config = ext.isin(".toml", ".cfg", ".ini", ".env", ".yaml", ".yml", ".json") | ((ext == "") & name.startswith(".env")) | name.isin(*CONFIG_NAMES) | low.startswith("conf/")
-    code = [e for lang, exts in EXTENSIONS.items() if lang not in ("markdown", "text", "rst") for e in exts.split()]
+    code = [e for e, lang in EXTENSIONS.items() if lang not in ("markdown", "text", "rst")]
     return (
         F.when(ext.isin(*BINARY), "asset")
         .when(is_generated(path), "generated")
@@ -134,8 +185,7 @@ def classify(path: Column) -> Column:
 
 def indexable(path: Column, size: Column) -> Column:
     """Neither binary, generated nor vendored, of a text extension and below the size cap."""
-    known = [e for exts in EXTENSIONS.values() for e in exts.split()]
-    return ~extension(path).isin(*BINARY) & ~is_generated(path) & ~is_vendor(path) & extension(path).isin(*known) & (size <= TEXT_CAP)
+    return ~extension(path).isin(*BINARY) & ~is_generated(path) & ~is_vendor(path) & extension(path).isin(*EXTENSIONS) & (size <= TEXT_CAP)
 
 
 def line_count(text: Column) -> Column:

@@ -154,9 +154,9 @@ def _in(values) -> str:
 _GEN = f"({_NAME} IN {_in(S.GENERATED_NAMES)} OR " + " OR ".join(f"suffix({_NAME}, '{e}')" for e in S.GENERATED_ENDS) + " OR contains('/' || lower(path), '/migrations/versions/'))"
 _VEN = "(" + " OR ".join(f"contains('/' || path, '{p}')" for p in S.VENDOR_PARTS) + ")"
 _LANG = f"CASE WHEN starts_with(lower({_NAME}), 'dockerfile') THEN 'dockerfile' WHEN lower({_NAME}) IN ('go.mod', 'go.sum') THEN 'go-mod' WHEN lower({_NAME}) = 'makefile' THEN 'makefile' " + " ".join(
-    f"WHEN {_EXT} IN {_in(e.split())} THEN '{k}'" for k, e in S.EXTENSIONS.items()
+    f"WHEN {_EXT} = '{e}' THEN '{k}'" for e, k in S.EXTENSIONS.items()
 ) + " ELSE 'other' END"
-_CODE = _in([e for k, v in S.EXTENSIONS.items() if k not in ("markdown", "text", "rst") for e in v.split()])
+_CODE = _in([e for e, k in S.EXTENSIONS.items() if k not in ("markdown", "text", "rst")])
 _CLASS = f"""CASE WHEN {_EXT} IN {_in(S.BINARY)} THEN 'asset' WHEN {_GEN} THEN 'generated' WHEN {_VEN} THEN 'vendor'
 WHEN lower({_NAME}) LIKE '%dockerfile%' OR lower({_NAME}) LIKE '%docker-compose%' OR lower(path) LIKE 'docker/%' OR lower(path) LIKE 'helm/%' OR '/' || lower(path) LIKE '%/.github/workflows/%'
   OR (lower(path) LIKE '%.tmpl' AND lower(path) LIKE '%helm%') OR lower({_NAME}) IN ('build.sh', 'entrypoint.sh') OR lower(path) LIKE 'deploy/%' OR '/' || lower(path) LIKE '%/k8s/%' THEN 'deployment'
@@ -165,7 +165,7 @@ WHEN '/' || lower(path) LIKE '%/test/%' OR '/' || lower(path) LIKE '%/tests/%' O
 WHEN {_EXT} IN ('.md', '.mdx', '.rst') OR lower(path) LIKE 'docs/%' THEN 'docs'
 WHEN {_EXT} IN ('.toml', '.cfg', '.ini', '.env', '.yaml', '.yml', '.json') OR ({_EXT} = '' AND starts_with({_NAME}, '.env')) OR {_NAME} IN {_in(S.CONFIG_NAMES)} OR lower(path) LIKE 'conf/%' THEN 'config'
 WHEN {_EXT} IN {_CODE} THEN 'source' ELSE 'other' END"""
-_ALL_EXT = _in([e for v in S.EXTENSIONS.values() for e in v.split()])
+_ALL_EXT = _in(S.EXTENSIONS)
 
 
 def _sections(where: str, pattern: str, title: str) -> str:

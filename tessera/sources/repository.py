@@ -11,11 +11,34 @@ from tessera.functions import scalars as S
 
 # Folders that are never listed.
 IGNORED = (
-    ".git .hg .svn __pycache__ .mypy_cache .pytest_cache .ruff_cache .idea .vscode node_modules .venv venv env .env.d dist build .next .turbo .cache"
-    " target .gradle .tox site-packages .eggs coverage .agents .github_cache"
-).split()
-
-
+    ".git",
+    ".hg",
+    ".svn",
+    "__pycache__",
+    ".mypy_cache",
+    ".pytest_cache",
+    ".ruff_cache",
+    ".idea",
+    ".vscode",
+    "node_modules",
+    ".venv",
+    "venv",
+    "env",
+    ".env.d",
+    "dist",
+    "build",
+    ".next",
+    ".turbo",
+    ".cache",
+    "target",
+    ".gradle",
+    ".tox",
+    "site-packages",
+    ".eggs",
+    "coverage",
+    ".agents",
+    ".github_cache",
+)
 #: Bytes above which a file is listed but not read.
 READ_CAP = 64 << 20
 
