@@ -14,7 +14,7 @@ from tessera.plans import lane_queries as lanes
 from tessera.plans.hierarchy_queries import _WALK
 from tessera.plans.inventory_queries import _CLASS, _in
 from tessera.plans.taxonomy import PROFILES
-from tessera.session import table
+from tessera.session import checkpoint, table
 
 # Parts of decorators, bases and names that mark a runtime surface.
 ROUTE_MARKS = ("route", ".get", ".post", ".put", ".patch", ".delete", ".websocket", "app.", "router.", "blueprint", "api_view", "requestmapping", "getmapping", "postmapping")
@@ -106,6 +106,56 @@ def long_units(spark: SparkSession, d: str) -> DataFrame:
     return x.select("symbol_id", part.cast("long").alias("part"), a.cast("long").alias("first_line"), F.least(a + LONG_UNIT - 1, F.col("end_line")).cast("long").alias("last_line"))
 
 
+def chunk_python(spark: SparkSession, d: str) -> DataFrame:
+    """Python files by their symbols: module header, classes up to their first method, methods and top-level functions; long ones in parts.
+
+    Units whose decorators declare a route are route handlers. Files without symbols are left to the line windows.
+    """
+    s = _symbols(spark, d).filter("path LIKE '%.py'")
+    n = one_per_key(table(spark, d, "files"), "file_id", ["repo", "path", "line_count"]).groupBy("repo", "path").agg(F.max("line_count").alias("n"))
+    first = s.filter("kind <> 'module'").groupBy("repo", "path").agg(F.min("start_line").alias("at"))
+    head = s.filter("kind = 'module'").groupBy("repo", "path").agg(F.min("symbol_id").alias("symbol_id")).join(n, ["repo", "path"], "left").join(first, ["repo", "path"], "left")
+    head = head.select("symbol_id", F.lit("module_header").alias("chunk_type"), F.lit(1).cast("long").alias("a"), F.greatest(F.lit(1), F.coalesce(F.col("at") - 1, F.col("n"), F.lit(1))).cast("long").alias("z"), F.lit(False).alias("long"))
+    top = s.filter("kind <> 'module' AND parent_symbol_id LIKE '%/'")
+    kids = s.filter("kind = 'method'").groupBy(F.col("parent_symbol_id").alias("symbol_id")).agg(F.min("start_line").alias("m"))
+    cls = top.filter("kind = 'class'").join(kids, "symbol_id", "left")
+    body = F.greatest("start_line", F.least(F.coalesce(F.col("m") - 1, F.col("end_line")), F.greatest("end_line", "start_line")))
+    cls = cls.select("symbol_id", F.lit("class_header").alias("chunk_type"), F.col("start_line").cast("long").alias("a"), body.cast("long").alias("z"), F.lit(False).alias("long"))
+    own = top.filter("kind = 'class'").select(F.col("symbol_id").alias("parent_symbol_id"))
+    units = top.filter("kind <> 'class'").select("symbol_id", "kind", "decorators", "start_line", "end_line").unionByName(s.filter("kind = 'method'").join(own, "parent_symbol_id", "left_semi").select("symbol_id", "kind", "decorators", "start_line", "end_line"))
+    route = F.exists(F.coalesce("decorators", F.expr("cast(array() as array<string>)")), lambda x: x.rlike(lanes._ROUTE))
+    units = units.select("symbol_id", F.when(route, "route_handler").when(F.col("kind") == "method", "method").otherwise("function").alias("chunk_type"), F.col("start_line").cast("long").alias("a"), F.greatest("start_line", "end_line").cast("long").alias("z"), F.lit(True).alias("long"))
+    x = head.unionByName(cls).unionByName(units)
+    step, size = LONG_UNIT - LONG_OVERLAP, F.col("z") - F.col("a") + 1
+    k = F.when(F.col("long") & (size > LONG_UNIT), 1 + F.ceil((size - LONG_UNIT) / step)).otherwise(1)
+    x = x.withColumn("i", F.explode(F.sequence(F.lit(0), (k - 1).cast("int"))))
+    parted = F.col("long") & (size > LONG_UNIT)
+    return x.select("symbol_id", "chunk_type", F.when(parted, F.col("i") + 1).cast("long").alias("part"), (F.col("a") + F.col("i") * step).alias("first_line"), F.when(parted, F.least(F.col("a") + F.col("i") * step + LONG_UNIT - 1, F.col("z"))).otherwise(F.col("z")).alias("last_line"))
+
+
+def validate_run(spark: SparkSession, d: str) -> DataFrame:
+    """Named checks over the evidence of all module pages, each with its number of faults."""
+    asked, got = (checkpoint(x) for x in lanes._hits(spark, d))
+    spans = _symbols(spark, d).filter("span_id IS NOT NULL").select(F.col("span_id").alias("item")).distinct()
+    chunks = _chunks(spark, d).select(F.col("chunk_id").alias("item"))
+    pages = asked.select("section_id").distinct()
+    n = lambda df: df.agg(F.count(F.lit(1)).alias("faults"))
+    checks = {
+        "all_pages_have_requests": n(got.select("section_id").distinct().join(pages, "section_id", "left_anti")),
+        "requests_known": n(got.join(asked, ["section_id", "request", "lane"], "left_anti")),
+        "requests_unique": n(asked.groupBy("section_id", "request").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")),
+        "items_valid": n(got.filter("section_id IS NULL OR item IS NULL OR lane IS NULL")),
+        "item_once_in_request": n(got.groupBy("section_id", "request", "rank").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")),
+        "anchors_exist": n(got.select("item").distinct().join(spans.unionByName(chunks), "item", "left_anti")),
+        "pages_without_evidence": n(pages.join(got.select("section_id").distinct(), "section_id", "left_anti")),
+    }
+    out = None
+    for name, df in checks.items():
+        part = df.select(F.lit(name).alias("check"), "faults", F.when(F.col("faults") == 0, "pass").when(F.lit(name) == "pages_without_evidence", "bad_plan").otherwise("bug").alias("verdict"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def rank_largest(spark: SparkSession, d: str) -> DataFrame:
     """Of each repository the 25 largest classes, most decorated symbols and heaviest test files."""
     s = _symbols(spark, d)
@@ -292,7 +342,7 @@ got AS (SELECT 'file_anchor' AS lane, concat_ws('/', repo, path) AS section_id,
 QUERIES = {
     f.__name__: f
     for f in (
-        symbol_flags, build_ids, all_spans, long_units, rank_largest, structure_counts, test_summary, tag_rows, topic_labels, page_defects, document_defects,
+        symbol_flags, build_ids, all_spans, long_units, chunk_python, validate_run, rank_largest, structure_counts, test_summary, tag_rows, topic_labels, page_defects, document_defects,
         placeholder_lines, empty_headings, token_families, unresolved_tallies, page_portfolio, depth_verdicts, vector_counts, resolve_nodes,
     )
 }
@@ -307,6 +357,22 @@ SELECT DISTINCT m.repo, m.path, CAST(1 AS BIGINT) AS first_line, CAST(coalesce(g
 UNION SELECT repo, path, start_line, end_line, kind FROM s WHERE kind <> 'module' UNION SELECT repo, path, start_line, end_line, chunk_type FROM {_CH} WHERE path NOT LIKE '%.py'""",
     "long_units": f"""WITH s AS (SELECT *, end_line - start_line + 1 AS n FROM {_SY} WHERE kind <> 'module' AND end_line >= start_line), p AS (SELECT s.*, unnest(range(0, CASE WHEN n <= {LONG_UNIT} THEN 1 ELSE 1 + (n - {LONG_UNIT} + {LONG_UNIT - LONG_OVERLAP - 1}) // {LONG_UNIT - LONG_OVERLAP} END)) AS i FROM s)
 SELECT symbol_id, CASE WHEN n > {LONG_UNIT} THEN i + 1 END AS part, start_line + i * {LONG_UNIT - LONG_OVERLAP} AS first_line, least(start_line + i * {LONG_UNIT - LONG_OVERLAP} + {LONG_UNIT - 1}, end_line) AS last_line FROM p""",
+    "chunk_python": rf"""WITH s AS (SELECT * FROM {_SY} WHERE path LIKE '%.py'), n AS (SELECT repo, path, max(line_count) AS n FROM {_FI} GROUP BY ALL), f AS (SELECT repo, path, min(start_line) AS a FROM s WHERE kind <> 'module' GROUP BY ALL),
+top AS (SELECT * FROM s WHERE kind <> 'module' AND parent_symbol_id LIKE '%/'), kids AS (SELECT parent_symbol_id AS symbol_id, min(start_line) AS m FROM s WHERE kind = 'method' GROUP BY ALL),
+units AS (SELECT * FROM top WHERE kind <> 'class' UNION ALL SELECT * FROM s WHERE kind = 'method' AND parent_symbol_id IN (SELECT symbol_id FROM top WHERE kind = 'class')),
+x AS (SELECT m.symbol_id, 'module_header' AS chunk_type, 1 AS a, greatest(1, coalesce(f.a - 1, n.n, 1)) AS z, false AS long FROM (SELECT repo, path, min(symbol_id) AS symbol_id FROM s WHERE kind = 'module' GROUP BY ALL) m LEFT JOIN n ON m.repo = n.repo AND m.path = n.path LEFT JOIN f ON m.repo = f.repo AND m.path = f.path
+UNION ALL SELECT t.symbol_id, 'class_header', start_line, greatest(start_line, least(coalesce(k.m - 1, end_line), greatest(end_line, start_line))), false FROM top t LEFT JOIN kids k ON t.symbol_id = k.symbol_id WHERE kind = 'class'
+UNION ALL SELECT symbol_id, CASE WHEN len(list_filter(coalesce(decorators, []), lambda t: {lanes._ROUTED})) > 0 THEN 'route_handler' WHEN kind = 'method' THEN 'method' ELSE 'function' END, start_line, greatest(start_line, end_line), true FROM units),
+p AS (SELECT *, long AND z - a + 1 > {LONG_UNIT} AS parted, unnest(range(0, CASE WHEN long AND z - a + 1 > {LONG_UNIT} THEN 1 + (z - a + 1 - {LONG_UNIT} + {LONG_UNIT - LONG_OVERLAP - 1}) // {LONG_UNIT - LONG_OVERLAP} ELSE 1 END)) AS i FROM x)
+SELECT symbol_id, chunk_type, CASE WHEN parted THEN i + 1 END AS part, a + i * {LONG_UNIT - LONG_OVERLAP} AS first_line, CASE WHEN parted THEN least(a + i * {LONG_UNIT - LONG_OVERLAP} + {LONG_UNIT - 1}, z) ELSE z END AS last_line FROM p""",
+    "validate_run": f"""WITH {lanes._BASE}, asked AS (SELECT concat_ws('/', repo, path) AS section_id, 'file_anchor|' || symbol_id AS request, 'file_anchor' AS lane FROM s WHERE kind <> 'module' UNION ALL SELECT concat_ws('/', repo, path), 'symbol_anchor|' || symbol_id, 'symbol_anchor' FROM s WHERE kind = 'class' UNION ALL SELECT concat_ws('/', repo, path), 'test|' || path, 'test' FROM {lanes._TESTS}),
+got AS MATERIALIZED (SELECT concat_ws('/', repo, path) AS section_id, 'file_anchor|' || request AS request, 'file_anchor' AS lane, hit AS item, step * 100 + place AS rank FROM {lanes._RANGED} UNION ALL SELECT concat_ws('/', repo, path), 'symbol_anchor|' || request, 'symbol_anchor', hit, step * 100 + place FROM {lanes._MEMBERS} UNION ALL SELECT concat_ws('/', repo, path), 'test|' || path, 'test', hit, place FROM {lanes._TEST_LANE} WHERE hit IS NOT NULL),
+k AS (SELECT 'all_pages_have_requests' AS "check", (SELECT count(DISTINCT section_id) FROM got WHERE section_id NOT IN (SELECT section_id FROM asked)) AS faults
+UNION ALL SELECT 'requests_known', (SELECT count(*) FROM got ANTI JOIN asked USING (section_id, request, lane)) UNION ALL SELECT 'requests_unique', (SELECT count(*) FROM (SELECT 1 FROM asked GROUP BY section_id, request HAVING count(*) > 1))
+UNION ALL SELECT 'items_valid', (SELECT count(*) FROM got WHERE section_id IS NULL OR item IS NULL) UNION ALL SELECT 'item_once_in_request', (SELECT count(*) FROM (SELECT 1 FROM got GROUP BY section_id, request, rank HAVING count(*) > 1))
+UNION ALL SELECT 'anchors_exist', (SELECT count(DISTINCT item) FROM got WHERE item NOT IN (SELECT span_id FROM s WHERE span_id IS NOT NULL) AND item NOT IN (SELECT chunk_id FROM c))
+UNION ALL SELECT 'pages_without_evidence', (SELECT count(DISTINCT section_id) FROM asked WHERE section_id NOT IN (SELECT section_id FROM got)))
+SELECT *, CASE WHEN faults = 0 THEN 'pass' WHEN "check" = 'pages_without_evidence' THEN 'bad_plan' ELSE 'bug' END AS verdict FROM k""",
     "rank_largest": f"""WITH s AS {_SY}, r AS (SELECT repo, 'class' AS ranking, symbol_id AS id, path, greatest(0, end_line - start_line + 1) AS n FROM s WHERE kind = 'class' UNION ALL SELECT repo, 'decorated', symbol_id, path, len(decorators) FROM s WHERE len(decorators) > 0
 UNION ALL SELECT repo, 'tests', path, path, count(*) FROM (SELECT repo, path, {_CLASS} AS k FROM s WHERE kind IN ('function', 'method')) WHERE k = 'test' GROUP BY repo, path)
 SELECT repo, ranking, place, id, CAST(n AS BIGINT) AS n FROM (SELECT *, row_number() OVER (PARTITION BY repo, ranking ORDER BY n DESC, path, id) AS place FROM r) WHERE place <= {TOP}""",
