@@ -19,9 +19,9 @@ _STRINGS = "|".join(
     (
         r'(?:[rRbBuUfF]{0,2})"""(?:[^"\\]|\\[\s\S]|"(?!""))*"""',
         r"(?:[rRbBuUfF]{0,2})'''(?:[^'\\]|\\[\s\S]|'(?!''))*'''",
-        rf'[rR]?[fF][rR]?"(?:[^"\\\n{{]|\\.|\{{\{{|{_HOLE})*"',
-        rf"[rR]?[fF][rR]?'(?:[^'\\\n{{]|\\.|\{{\{{|{_HOLE})*'",
-        rf"(?:{_PREFIX}|[fF][rR]?|[rR][fF])(?:{_BODY[chr(34)]}|{_BODY[chr(39)]})",
+        rf'[rR]?[fF][rR]?(?!""")"(?:[^"\\\n{{]|\\.|\{{\{{|{_HOLE})*"',
+        rf"[rR]?[fF][rR]?(?!''')'(?:[^'\\\n{{]|\\.|\{{\{{|{_HOLE})*'",
+        rf"(?:{_PREFIX}|[fF][rR]?|[rR][fF])(?!{chr(34) * 3}|{chr(39) * 3})(?:{_BODY[chr(34)]}|{_BODY[chr(39)]})",
     )
 )
 _LEX = re.compile(
@@ -82,7 +82,7 @@ bin: unary ((BIN | ADD | '*' | '**' | '/' | '@') unary)* ;
 unary: (ADD | '~') unary | ['await'] atom trailer* ;
 trailer: '(' [args] ')' | '[' subs ']' | '.' NAME ;
 subs: sub (',' (sub))* [','] ;
-sub: ('*' bin | named) [':' [test] [':' [test]]] | ':' [test] [':' [test]] ;
+sub: '*' bin | named [':' [test] [':' [test]]] | ':' [test] [':' [test]] ;
 args: arg (',' (arg))* [','] ;
 arg: '*' test | '**' test | test ['=' pval | ':=' test | 'as' NAME] [comp] ;
 pval: test ['as' NAME] ;

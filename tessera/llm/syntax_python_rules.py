@@ -33,6 +33,7 @@ class Fault(Exception):
 class Rules:
     def __init__(self, kinds: list[str], words: list[str], parse: Callable[[str], bool]) -> None:
         self.k, self.w, self.parse = kinds, words, parse
+        self.early, self.begun = True, False  # whether an import from __future__ may still come; whether a statement has
         self.match: dict[int, int] = {}
         stack: list[int] = []
         for i, t in enumerate(kinds):
@@ -267,6 +268,9 @@ class Rules:
         """``near``: def, adef, class or nothing; ``adrift``: in the body of an ``except*``."""
         k = self.k
         first = k[a]
+        if self.early and (first != "from" or self.w[a + 1] != "__future__"):
+            self.early = not self.begun and all(t == "STRING" for t in k[a:b])
+        self.begun = True
         if first == "del":
             self.targets(a + 1, b, "del")
         elif first == "return":
@@ -283,6 +287,8 @@ class Rules:
             if k[b - 1] == "," or k[b - 1] == "*" and near:
                 raise Fault(b - 1)
             if self.w[a + 1] == "__future__" and k[a + 2] == "import":
+                if not self.early:
+                    raise Fault(a)
                 for i in range(a + 3, b):
                     if k[i] == "NAME" and k[i - 1] != "as" and self.w[i] not in _FUTURE:
                         raise Fault(i)
@@ -392,6 +398,8 @@ class Rules:
         first = k[a]
         outer = self._near(blocks)
         kind, params, with_at, colon = "", -1, -1, a - 1
+        if first in _HEADS or first == "@":
+            self.early = False
         if first in _HEADS:
             colon = self.header(a, b)
             params, with_at = self.head(a, colon)
