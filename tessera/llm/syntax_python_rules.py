@@ -8,6 +8,7 @@ f-strings, and the places where return, yield, await, break and continue may sta
 from __future__ import annotations
 
 import re
+import unicodedata
 from keyword import iskeyword
 from collections.abc import Callable, Iterator
 
@@ -22,10 +23,20 @@ _BEFORE_WALRUS = frozenset(("(", "[", "{", ",", "if", "elif", "while", "MATCH",
 _BAD_ESCAPE = re.compile(r"(?<!\\)(?:\\\\)*\\(?:x(?![0-9a-fA-F]{2})|u(?![0-9a-fA-F]{4})|U(?!(?:000[0-9a-fA-F]|0010)[0-9a-fA-F]{4})|N(?!\{[^{}\n]+\}))")
 _BAD_BYTE = re.compile(r"(?<!\\)(?:\\\\)*\\x(?![0-9a-fA-F]{2})")
 _PREFIX = re.compile(r"[A-Za-z]*")
+_NAMED = re.compile(r"(?<!\\)(?:\\\\)*\\N\{([^{}\n]+)\}")
 # What may be imported from __future__.
 _FUTURE = frozenset("nested_scopes generators division absolute_import with_statement print_function unicode_literals barry_as_FLUFL generator_stop annotations".split())
 
 
+def _named(name: str) -> bool:
+    """Whether a character bears this name."""
+    try:
+        unicodedata.lookup(name)
+    except KeyError:
+        return False
+    return True
+
+
 class Fault(Exception):
     """Carries the index of the token at fault."""
 
@@ -462,6 +473,8 @@ class Rules:
             raise Fault(i)
         if "\\" in word and "r" not in prefix and (_BAD_BYTE if is_bytes else _BAD_ESCAPE).search(word):
             raise Fault(i)
+        if "\\N{" in word and not is_bytes and "r" not in prefix and not all(_named(x) for x in _NAMED.findall(word)):
+            raise Fault(i)
         if "f" in prefix and ("{" in word or "}" in word):
             n = len(prefix)
             q = 3 if word[n : n + 3] in ('"""', "'''") and len(word) >= n + 6 else 1
