@@ -439,7 +439,7 @@ class Rules:
                 t = k[i]
                 if t in ("await", "yield"):
                     near = inner if i > colon else outer[0]
-                    if near not in ("def", "adef") or t == "await" and near != "adef":
+                    if t == "yield" and near not in ("def", "adef") or t == "await" and near != "adef" and not self._in_generator(start, i):
                         raise Fault(i)
         if colon < b - 1 and first != "@":
             near, loop, adrift = self._near([*blocks, kind]) if kind else outer
@@ -450,6 +450,10 @@ class Rules:
                 x = i + 1
         return kind
 
+    def _in_generator(self, a: int, i: int) -> bool:
+        """Whether a generator expression of the line from ``a`` on encloses ``i``; it may await wherever it stands."""
+        return any(self.k[j] == "(" and self.match[j] > i and any(self.k[x] == "for" for x in self.top(j + 1, self.match[j])) for j in range(a, i) if j in self.match)
+
     @staticmethod
     def _near(blocks: list[str]) -> tuple[str, bool, bool]:
         """Nearest function or class, whether a loop lies nearer than it, and whether an ``except*`` does."""

@@ -19,9 +19,9 @@ BAD = {'yaml':["a: *nope\n","- *a\n- &a 1\n"],
 'typescript':["enum E { 1 }","const x;","return 1;","let a = 1; let a = 2"],
 'java':["class A { void f() { foo; } }","class A { void f() { 1+2; } }","class A { void f() { a.b; } }","class A { void f() { a + b(); } }","class A { void f() { if (x) { y; } } }"]}
 
-PYTHON_BAD = ['x = """abc""d"\n', 'x = """a"\n', 'x = 1\nfrom __future__ import annotations\n', 'def f(): pass\nfrom __future__ import division\n', 'f(a=1, 2)','f() = 1','a, b += 1','del f()','None = 1','def f(a=1, b): pass','f(**a, *b)','for 1 in x: pass','with open(a) as 1: pass','f"{a b}"',"f'{'",'try: pass\nexcept* A: pass\nexcept B: pass','return 1','break','def f(a,a): pass','x = (a as b)','{a: 1, b}','[*a for a in b]','x = *a','y := 1','def f(): await x','class A:\n  yield 1','try: pass\nexcept A, e: pass','f(x as y)','def f(a, %): pass','(a+1) = 2','f"{a!x}"','f"}"','b"a" "b"','"\\x1"','lambda a, a: 1','f(a for a in b, c)','f(a.b=1)','import a.*','from a import b,','*a, *b = c','for *a in b: pass','x: int, y = 1','(a, b): int = 1','f"{}"',"f'{a:{b:{c:{d}}}}'",'def f(*): pass','def f(**k, a): pass','def f(*, **k): pass', '(x := 1) = 2','async def f():\n  return 1\nawait g()','for x in y:\n  def g():\n    break','if x: return','global x, y = 1','del *a','a = b := 1','f(a=1, a=2)','x[a=1]','(yield) = 1',"x = f'{a'",'def f(a, *, b, *c): pass','def f(a, /, b, /): pass','print(a b)','with (a as b, c as 1): pass','a = yield','nonlocal x',"f'{a!r:{'",'f"{lambda x: 1}"']
+PYTHON_BAD = ['def f(n):\n  return [i for i in n if await g(i)]\n', 'x = """abc""d"\n', 'x = """a"\n', 'x = 1\nfrom __future__ import annotations\n', 'def f(): pass\nfrom __future__ import division\n', 'f(a=1, 2)','f() = 1','a, b += 1','del f()','None = 1','def f(a=1, b): pass','f(**a, *b)','for 1 in x: pass','with open(a) as 1: pass','f"{a b}"',"f'{'",'try: pass\nexcept* A: pass\nexcept B: pass','return 1','break','def f(a,a): pass','x = (a as b)','{a: 1, b}','[*a for a in b]','x = *a','y := 1','def f(): await x','class A:\n  yield 1','try: pass\nexcept A, e: pass','f(x as y)','def f(a, %): pass','(a+1) = 2','f"{a!x}"','f"}"','b"a" "b"','"\\x1"','lambda a, a: 1','f(a for a in b, c)','f(a.b=1)','import a.*','from a import b,','*a, *b = c','for *a in b: pass','x: int, y = 1','(a, b): int = 1','f"{}"',"f'{a:{b:{c:{d}}}}'",'def f(*): pass','def f(**k, a): pass','def f(*, **k): pass', '(x := 1) = 2','async def f():\n  return 1\nawait g()','for x in y:\n  def g():\n    break','if x: return','global x, y = 1','del *a','a = b := 1','f(a=1, a=2)','x[a=1]','(yield) = 1',"x = f'{a'",'def f(a, *, b, *c): pass','def f(a, /, b, /): pass','print(a b)','with (a as b, c as 1): pass','a = yield','nonlocal x',"f'{a!r:{'",'f"{lambda x: 1}"']
 
-PYTHON_GOOD = ['"doc"\nfrom __future__ import annotations\nfrom __future__ import division\nx = 1\n', 'x = "" "a"\n', 'x = """"a"""\n', 'f(*a, b)','f(a=1, *b)','f(**a, b=1)','x = [*a, *b]','(a) = 1','[a, b] = c','(a, *b), c = d','() = x','for i, (j, k) in z: pass','with (a as b, c as (d, e)): pass','with (a, b) as c: pass','with (a): pass','with (a)(b) as c.d: pass','x = lambda a, *b, c=1, **d: a','x: int = lambda y: y','d = {**a, "b": lambda x=1: x, **c}','if (n := 10) > 5: pass','while n := f(): pass','[y := 1, y**2]','f(y := 1)','x[y := 1]' ,"f'{a!r}' f'{b:>{w}}' '{'","f'{{}}'","f'{a[\"b\"]:{w}.{p}}'","f'{x = !r}'","f'{(lambda y: 1)}'",'def f(a, /, b=1, *c, d, e=2, **g): return (yield)','async def f():\n  async with a as b, c: pass\n  return [x async for x in y]','try: pass\nexcept* A as e: pass\nelse: pass','for x in y:\n  if x: break\nelse: pass','a.b, c[d] = e','a[b].c += 1','a.b: int = 1','del (a, b), c[d]','del [a, b]','del ()','match x:\n  case {"a": 1, **r}: pass\n  case A(b, c=1) as d: pass\n  case (1 | 2) as z: pass\n  case [*_, a]: pass','f(x for x in y)','x = a if b else lambda: c','class A(B, metaclass=M, **k): x: int = 1','print(*a, sep="")','x = *a, b','return_ = 1','@(a := b)\ndef f(): pass','def f(): return *a, b','x = y = z = 1','x = (yield_)','def f():\n  x = yield\n  y = yield from z\n  await_ = 1','f"{a:%Y-%m-%d}"',"f'{a}}}'",'rf"\\{a}"','f"\\N{EM DASH}{a}"', 'f"""{\na\n}"""', 'x = {a for a in b}', 'x = {a: b for a, b in c}', 'def f[T: int, *Ts](x: T) -> T: ...', 'type X[T] = list[T]','x[*a]','x[1:2, ::3]','a: str','if x:\n  for y in z: continue','f(a)(b=1)(*c)', "f'{a if b else c:x}'", 'assert x, "y"', 'raise A from b', 'print(f"{a=}")', "f'{d['a']}'", 'lambda: (yield)', 'def f(*args: *Ts): pass','for x in *a, b: pass']
+PYTHON_GOOD = ['def f(n):\n  return (i for i in n if await g(i))\n', '"doc"\nfrom __future__ import annotations\nfrom __future__ import division\nx = 1\n', 'x = "" "a"\n', 'x = """"a"""\n', 'f(*a, b)','f(a=1, *b)','f(**a, b=1)','x = [*a, *b]','(a) = 1','[a, b] = c','(a, *b), c = d','() = x','for i, (j, k) in z: pass','with (a as b, c as (d, e)): pass','with (a, b) as c: pass','with (a): pass','with (a)(b) as c.d: pass','x = lambda a, *b, c=1, **d: a','x: int = lambda y: y','d = {**a, "b": lambda x=1: x, **c}','if (n := 10) > 5: pass','while n := f(): pass','[y := 1, y**2]','f(y := 1)','x[y := 1]' ,"f'{a!r}' f'{b:>{w}}' '{'","f'{{}}'","f'{a[\"b\"]:{w}.{p}}'","f'{x = !r}'","f'{(lambda y: 1)}'",'def f(a, /, b=1, *c, d, e=2, **g): return (yield)','async def f():\n  async with a as b, c: pass\n  return [x async for x in y]','try: pass\nexcept* A as e: pass\nelse: pass','for x in y:\n  if x: break\nelse: pass','a.b, c[d] = e','a[b].c += 1','a.b: int = 1','del (a, b), c[d]','del [a, b]','del ()','match x:\n  case {"a": 1, **r}: pass\n  case A(b, c=1) as d: pass\n  case (1 | 2) as z: pass\n  case [*_, a]: pass','f(x for x in y)','x = a if b else lambda: c','class A(B, metaclass=M, **k): x: int = 1','print(*a, sep="")','x = *a, b','return_ = 1','@(a := b)\ndef f(): pass','def f(): return *a, b','x = y = z = 1','x = (yield_)','def f():\n  x = yield\n  y = yield from z\n  await_ = 1','f"{a:%Y-%m-%d}"',"f'{a}}}'",'rf"\\{a}"','f"\\N{EM DASH}{a}"', 'f"""{\na\n}"""', 'x = {a for a in b}', 'x = {a: b for a, b in c}', 'def f[T: int, *Ts](x: T) -> T: ...', 'type X[T] = list[T]','x[*a]','x[1:2, ::3]','a: str','if x:\n  for y in z: continue','f(a)(b=1)(*c)', "f'{a if b else c:x}'", 'assert x, "y"', 'raise A from b', 'print(f"{a=}")', "f'{d['a']}'", 'lambda: (yield)', 'def f(*args: *Ts): pass','for x in *a, b: pass']
 # fmt: on
 
 
