@@ -37,9 +37,10 @@ def bm25(docs: DataFrame, key: str, text: Column, queries: DataFrame, k: int) ->
     words = queries.select("query_id", F.posexplode(F.regexp_extract_all(F.lower("query"), F.lit("[a-z0-9_]+"), F.lit(0))).alias("phrase", "word"))
     parts = words.select("query_id", "phrase", F.array_remove(F.split("word", "_"), "").alias("parts")).filter(F.size("parts") > 0)
     terms = parts.select("query_id", "phrase", F.size("parts").alias("m"), F.posexplode("parts").alias("at", "term"))
-    found = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
-    stats = docs.agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.nullif(F.size(found), F.lit(-1))).alias("total"))
-    toks = docs.select(key, F.size(found).alias("dl"), F.posexplode(found).alias("pos", "term"))
+    # one array a row, evaluated once, serves lengths, totals and words
+    arrays = docs.select(key, F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0)).alias("words"))
+    stats = arrays.agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.when(F.col("words").isNotNull(), F.size("words"))).alias("total"))
+    toks = arrays.select(key, F.size("words").alias("dl"), F.posexplode("words").alias("pos", "term"))
     hit = toks.join(F.broadcast(terms), "term").groupBy("query_id", "phrase", "m", key, "dl", (F.col("pos") - F.col("at")).alias("start")).agg(F.countDistinct("at").alias("got"))
     tf = hit.filter("got = m").groupBy("query_id", "phrase", key, "dl").agg(F.count(F.lit(1)).alias("f"))
     df = tf.groupBy("query_id", "phrase").agg(F.count(F.lit(1)).alias("df"))
