@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.functions import scalars as S
 from tessera.operators.joins import first_per
 from tessera.operators.obligations import EXACT_LANES, obligations
 from tessera.operators.patterns import DIGEST_CAP, PACKS, RAW_CAP, digest, scan
-from tessera.plans.analysis_queries import _SCAN, _lines
+from tessera.operators.tables import one_per_key
+from tessera.plans.analysis_queries import _F, _SCAN, _lines
 from tessera.plans.catalog_queries import ORACLE as _CATALOG
-from tessera.plans.catalog_queries import breadth_budget, planned_coverage
+from tessera.plans.catalog_queries import breadth_budget, planned_coverage, topic_catalog
+from tessera.plans.inventory_queries import _EXT, _GEN, _LANG, _VEN, _in
+from tessera.plans.lane_queries import ORACLE as _LANES
+from tessera.plans.lane_queries import contract_requests, resolve_symbol_forms, resolve_tests
 from tessera.plans.page_queries import ORACLE as _PAGES
 from tessera.plans.page_queries import generated_coverage, source_map
-from tessera.plans.record_queries import _SE, _sections
+from tessera.plans.record_queries import _CH, _SE, _chunks, _sections
 from tessera.plans.taxonomy import PROFILES
-from tessera.session import checkpoint
+from tessera.session import checkpoint, table
 
 # How precise a lane's handle is, and what being required and being citeable add.
 LANE_WEIGHT = {"contract": 5, "symbol_anchor": 4, "file_anchor": 4, "test": 3, "query_pack": 2}
@@ -82,13 +87,69 @@ def scan_caps(spark: SparkSession, d: str) -> DataFrame:
     return x.select("pack", "place", "path", "file_id", F.col("line_no").cast("long").alias("line_no"), "total", F.least("total", F.lit(RAW_CAP)).cast("long").alias("raw_kept"), (F.col("total") > RAW_CAP).alias("raw_truncated"), "truncated")
 
 
-QUERIES = {f.__name__: f for f in (page_obligations, source_scores, traceability, gate_breadth, pack_rules, scan_caps)}
+def needs_resolution(spark: SparkSession, d: str) -> DataFrame:
+    """References of each repository by lane: kept where they resolve to one thing, hints where to nothing, unresolved where to several or to no operation."""
+    verdict = lambda kept, lost: F.when(F.col("resolution").isin(*kept), "kept").when(F.col("resolution").isin(*lost), "unresolved").otherwise("hint")
+    a = resolve_symbol_forms(spark, d).select("repo", F.lit("symbol_anchor").alias("lane"), verdict(("exact", "unique_alias"), ("ambiguous",)).alias("outcome"))
+    b = resolve_tests(spark, d).select("repo", F.lit("test").alias("lane"), verdict(("test_file", "unique_suffix", "file_exists"), ("ambiguous",)).alias("outcome"))
+    c = contract_requests(spark, d).select("repo", F.lit("contract").alias("lane"), verdict(("exact", "path_only"), ("no_match",)).alias("outcome"))
+    return a.unionByName(b).unionByName(c).groupBy("repo", "lane", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def expected_types(spark: SparkSession, d: str) -> DataFrame:
+    """F16: evidence that a repository's needs let expect: the lanes that keep something, and the graph where symbols are kept."""
+    kept = needs_resolution(spark, d).filter("outcome = 'kept'").select("repo", "lane").distinct()
+    return kept.unionByName(kept.filter("lane = 'symbol_anchor'").select("repo", F.lit("graph_neighbors").alias("lane")))
+
+
+def index_remap(spark: SparkSession, d: str) -> DataFrame:
+    """places of the named chunks of a file before and after those are pruned that resolve to no single symbol; null for the pruned."""
+    c = _chunks(spark, d).filter("symbol_name IS NOT NULL AND path IS NOT NULL").select("repo", "path", "chunk_id", "start_line", F.concat("path", F.lit(":"), "symbol_name").alias("ref"))
+    r = resolve_symbol_forms(spark, d).select("repo", "ref", F.col("resolution").isin("exact", "unique_alias").alias("kept"))
+    x = c.join(r, ["repo", "ref"], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+    w = Window.partitionBy("repo", "path").orderBy("start_line", "chunk_id")
+    before = F.row_number().over(w) - 1
+    after = F.sum(F.col("kept").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1
+    return x.select("chunk_id", before.cast("long").alias("raw_index"), F.when(F.col("kept"), after).alias("new_index"))
+
+
+def catalog_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    """Number and digest of the topics of each repository's catalog in canonical form; a catalog has at most 169 topics."""
+    row = F.concat_ws("\t", "topic_id", F.coalesce("parent_id", F.lit("")), "label", "kind", "profile", "status", "priority", "tier", F.col("least_items").cast("string"))
+    t = topic_catalog(spark, d).select("repo", row.alias("row"))
+    return t.groupBy("repo").agg(F.count(F.lit(1)).alias("topics"), F.sha2(F.array_join(F.array_sort(F.collect_list("row")), "\n"), 256).alias("fingerprint"))
+
+
+def repo_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """Of each repository the files, what is left out of them and why, and its three largest languages by files."""
+    f = one_per_key(table(spark, d, "files"), "file_id", ["repo", "path"]).filter("path IS NOT NULL")
+    p = F.col("path")
+    lang = S.language_for(S.extension(p), S.base_name(p))
+    n = f.groupBy("repo").agg(F.count(F.lit(1)).alias("files"), F.count_if(S.is_generated(p)).alias("generated"), F.count_if(S.is_vendor(p)).alias("vendored"), F.count_if(S.extension(p).isin(*S.BINARY)).alias("binary"), F.count_if(lang == "other").alias("unknown"))
+    top = first_per(f.groupBy("repo", lang.alias("language")).agg(F.count(F.lit(1)).alias("n")), ["repo"], [F.desc("n"), F.col("language")], 3)
+    top = top.groupBy("repo").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "language", "n"))), lambda x: F.concat_ws("=", x["language"], x["n"].cast("string"))), ",").alias("languages"))
+    return n.join(top, "repo")
+
+
+QUERIES = {f.__name__: f for f in (page_obligations, source_scores, traceability, gate_breadth, pack_rules, scan_caps, needs_resolution, expected_types, index_remap, catalog_fingerprints, repo_summaries)}
 
 _LANE_FIELD = "CASE lane " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _FIELD.items()) + " END"
 _LANE_SCORE = "CASE lane " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in LANE_WEIGHT.items()) + " END"
 _TOPIC_ROWS = ", ".join(f"('{t}', '{n}')" for t, n in PAGE_TOPICS)
 
+_NEEDS = f"""SELECT repo, lane, outcome, count(*) AS n FROM (SELECT repo, 'symbol_anchor' AS lane, CASE WHEN resolution IN ('exact', 'unique_alias') THEN 'kept' WHEN resolution = 'ambiguous' THEN 'unresolved' ELSE 'hint' END AS outcome FROM ({_LANES['resolve_symbol_forms']})
+UNION ALL SELECT repo, 'test', CASE WHEN resolution IN ('test_file', 'unique_suffix', 'file_exists') THEN 'kept' WHEN resolution = 'ambiguous' THEN 'unresolved' ELSE 'hint' END FROM ({_LANES['resolve_tests']})
+UNION ALL SELECT repo, 'contract', CASE WHEN resolution IN ('exact', 'path_only') THEN 'kept' ELSE 'unresolved' END FROM ({_LANES['contract_requests']})) GROUP BY ALL"""
+
 ORACLE = {
+    "needs_resolution": _NEEDS,
+    "expected_types": f"WITH n AS ({_NEEDS}) SELECT DISTINCT repo, lane FROM n WHERE outcome = 'kept' UNION ALL SELECT DISTINCT repo, 'graph_neighbors' FROM n WHERE outcome = 'kept' AND lane = 'symbol_anchor'",
+    "index_remap": f"""WITH r AS ({_LANES['resolve_symbol_forms']}), x AS (SELECT c.*, coalesce(r.resolution IN ('exact', 'unique_alias'), false) AS kept FROM {_CH} c LEFT JOIN r ON c.repo = r.repo AND c.path || ':' || c.symbol_name = r.ref WHERE c.symbol_name IS NOT NULL AND c.path IS NOT NULL)
+SELECT chunk_id, row_number() OVER w - 1 AS raw_index, CASE WHEN kept THEN CAST(sum(CAST(kept AS BIGINT)) OVER (PARTITION BY repo, path ORDER BY start_line, chunk_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - 1 END AS new_index FROM x WINDOW w AS (PARTITION BY repo, path ORDER BY start_line, chunk_id)""",
+    "catalog_fingerprints": f"WITH t AS ({_CATALOG['topic_catalog']}), r AS (SELECT repo, concat_ws(chr(9), topic_id, coalesce(parent_id, ''), label, kind, profile, status, priority, tier, CAST(least_items AS VARCHAR)) AS row FROM t) SELECT repo, count(*) AS topics, sha256(string_agg(row, chr(10) ORDER BY row)) AS fingerprint FROM r GROUP BY repo",
+    "repo_summaries": f"""WITH f AS (SELECT repo, {_GEN} AS g, {_VEN} AS v, {_EXT} IN {_in(S.BINARY)} AS b, {_LANG} AS language FROM {_F} WHERE path IS NOT NULL), l AS (SELECT repo, language, count(*) AS n FROM f GROUP BY ALL),
+t AS (SELECT repo, string_agg(language || '=' || n, ',' ORDER BY n DESC, language) AS languages FROM (SELECT *, row_number() OVER (PARTITION BY repo ORDER BY n DESC, language) AS k FROM l) WHERE k <= 3 GROUP BY repo)
+SELECT f.repo, count(*) AS files, count(*) FILTER (g) AS generated, count(*) FILTER (v) AS vendored, count(*) FILTER (b) AS "binary", count(*) FILTER (language = 'other') AS unknown, max(t.languages) AS languages FROM f JOIN t ON f.repo = t.repo GROUP BY f.repo""",
     "page_obligations": f"""WITH m AS MATERIALIZED ({_PAGES['source_map']}), p AS (SELECT DISTINCT section_id FROM m), t(topic, field) AS (VALUES {_TOPIC_ROWS}),
 x AS (SELECT p.section_id, t.topic, t.field, n.citeable > 0 AS c, n.section_id IS NOT NULL AS have FROM p CROSS JOIN t LEFT JOIN (SELECT *, {_LANE_FIELD} AS field FROM m) n ON n.section_id = p.section_id AND n.field = t.field)
 SELECT section_id, topic, CASE WHEN field <> 'graph_nodes' AND have AND c THEN 'complete' ELSE 'incomplete' END AS status, CASE WHEN field = 'graph_nodes' THEN 'broad_only_source_fields' WHEN NOT have THEN 'invalid_source_field' WHEN NOT c THEN 'source_not_citeable' END AS defect FROM x""",
