@@ -292,9 +292,10 @@ def _windows(text: str) -> list[tuple[int, int]]:
         for _ in range(2):
             nxt = text.find("\n", stop + 1)
             stop = len(text) if nxt < 0 else nxt
-        while stop < len(text) and _CONTINUED.match(text, stop + 1):
-            nxt = text.find("\n", stop + 1)
-            stop = len(text) if nxt < 0 else nxt
+        if not out or stop > out[-1][1]:  # else the window before has gone on to here already
+            while stop < len(text) and _CONTINUED.match(text, stop + 1):
+                nxt = text.find("\n", stop + 1)
+                stop = len(text) if nxt < 0 else nxt
         if out and a <= out[-1][1]:
             out[-1][1:] = [max(stop, out[-1][1]), z]
         else:

@@ -12,6 +12,8 @@ from tessera.llm.syntax_python_rules import Fault, Rules
 KEYWORDS = frozenset(
     "False None True and as assert async await break class continue def del elif else except finally for from global if import in is lambda nonlocal not or pass raise return try while with yield".split()
 )
+# How deep brackets and indentation may nest.
+MOST_BRACKETS, MOST_INDENTS = 200, 100
 _PREFIX = r"(?:[rR][bB]?|[bB][rR]?|[uU])?"
 _BODY = {'"': r'"(?:[^"\\\n]|\\(?:\r\n|.|\n))*"', "'": r"'(?:[^'\\\n]|\\(?:\r\n|.|\n))*'"}
 _HOLE = r"\{(?:[^{}\n\"']|'[^'\n]*'|\"[^\"\n]*\"|\{[^{}\n]*\})*\}"
@@ -141,7 +143,7 @@ def tokens(text: str) -> tuple[list[str], list[int], list[str]]:
             col, alt = pending
             top = levels[-1]
             if col > top[0]:
-                put("INDENT" if alt > top[1] else "ERROR")
+                put("INDENT" if alt > top[1] and len(levels) < MOST_INDENTS else "ERROR")
                 mark(line - 1)
                 levels.append(pending)
             else:
@@ -165,6 +167,8 @@ def tokens(text: str) -> tuple[list[str], list[int], list[str]]:
             line += tok.count("\n") if kind == "STRING" else 0
         elif c in "([{":
             depth.append(")]}"["([{".index(c)])
+            if len(depth) > MOST_BRACKETS:
+                kind = "ERROR"
         elif c in ")]}":
             if not depth or depth.pop() != c:
                 kind = "ERROR"
