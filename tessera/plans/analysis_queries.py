@@ -89,14 +89,14 @@ def graph_types(spark: SparkSession, d: str) -> DataFrame:
 
 
 def graph_hubs(spark: SparkSession, d: str) -> DataFrame:
-    """A4, A12, R6 on graph_edges: the 30 nodes with most edges, ties by id."""
+    """A4, R6 on graph_edges: the 30 nodes with most edges, ties by id."""
     _, edges = build_graph(_files(spark, d), _symbols(spark, d))
     x = degrees(edges).withColumn("total", F.col("n_in") + F.col("n_out"))
     return x.orderBy(F.desc("total"), "node_id").limit(30)
 
 
 def graph_neighbours(spark: SparkSession, d: str) -> DataFrame:
-    """J18, E6 on graph_edges: up to eight neighbours of every class."""
+    """J18 on graph_edges: up to eight neighbours of every class; lane_graph adds their sources."""
     nodes, edges = build_graph(_files(spark, d), _symbols(spark, d))
     return neighbours(edges, nodes.filter("type = 'class'"))
 
@@ -183,7 +183,7 @@ def gate_sections(spark: SparkSession, d: str) -> DataFrame:
 
 
 def gate_freshness(spark: SparkSession, d: str) -> DataFrame:
-    """Whether the indexed state of each repository (first load) equals its present state."""
+    """A19, and of V15 a comparison of loads: whether the first load of each repository equals its present state; index_states consults the stored index."""
     c = table(spark, d, "chunks").filter("chunk_id IS NOT NULL")
     now = fingerprint(one_per_key(c, "chunk_id", ["repo", "sha256"]), "chunk_id", "sha256", ["repo"])
     first = fingerprint(c.groupBy("chunk_id").agg(F.max("repo").alias("repo"), F.min("sha256").alias("sha256")), "chunk_id", "sha256", ["repo"]).withColumnRenamed("fingerprint", "indexed")
@@ -221,7 +221,7 @@ def lane_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lane_summary(spark: SparkSession, d: str) -> DataFrame:
-    """A31 and of A29 one lane: per repository requested, returned and missing files."""
+    """Of A29 one lane: per repository requested, returned and missing files."""
     x = lane_files(spark, d).groupBy("doc_id").agg(F.max((F.col("state") == "hit").cast("long")).alias("hit"))
     r = table(spark, d, "documents").filter("path IS NOT NULL").select("doc_id", "repo")
     return x.join(r, "doc_id").groupBy("repo").agg(F.count(F.lit(1)).alias("requested"), F.sum("hit").alias("returned"), F.sum(1 - F.col("hit")).alias("missing"))

@@ -51,12 +51,12 @@ def _reasons(spark: SparkSession, d: str) -> DataFrame:
 
 
 def catalog_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Files that signal a family, with their sorted reasons."""
+    """Files that signal one of seven example families, with their sorted reasons; family_candidates has the thirteen families of B10."""
     return _reasons(spark, d).groupBy("repo", "path", "family").agg(F.array_join(F.array_sort(F.collect_set("reason")), ",").alias("reasons"))
 
 
 def catalog_topics(spark: SparkSession, d: str) -> DataFrame:
-    """A topic for each family of a repository, with status, and one for each folder of a present family with two folders or more."""
+    """On catalog_candidates: a topic for each family of a repository, with status by files alone, and one for each folder of a present family with two folders or more."""
     c = _reasons(spark, d).select("repo", "family", "path").distinct()
     top = c.groupBy("repo", "family").agg(F.count(F.lit(1)).alias("files")).withColumn("status", S.signal_status(F.col("files"), F.lit(0), F.lit(0)))
     kid = c.withColumn("facet", S.top_dir(F.col("path"))).groupBy("repo", "family", "facet").agg(F.count(F.lit(1)).alias("files"))

@@ -208,7 +208,7 @@ def agg_depth(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agg_status(spark: SparkSession, d: str) -> DataFrame:
-    """Signal status of each repository and language by files, hits and symbols."""
+    """A status of each repository by files and classes under thresholds of its own; family_signals has those of P17 and A16."""
     f = _files(spark, d).groupBy("repo").agg(F.count(F.lit(1)).alias("files"))
     s = _symbols(spark, d).filter("kind = 'class'").groupBy("repo").agg(F.count(F.lit(1)).alias("classes"))
     x = f.join(s, "repo", "left").withColumn("classes", F.coalesce("classes", F.lit(0)))
