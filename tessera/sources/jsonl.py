@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tessera.session import checkpoint
+
 
 class MalformedRows(ValueError):
     """A strict read met lines that are no JSON objects of the schema."""
@@ -17,16 +19,25 @@ def read_lenient(spark: SparkSession, path: str, schema: StructType | str) -> Da
 
 
 def read_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Parsed rows with their raw line; raises ``MalformedRows`` with file and line text if any line is malformed."""
+    """Parsed rows with their raw line; raises ``MalformedRows`` with file, line number and text if any line is malformed.
+
+    The source is read and parsed once into a written table; line numbers are looked up only for the lines at fault.
+    """
     lines = spark.read.text(path).withColumn("file", F.input_file_name()).filter(F.trim("value") != "")
     corrupt = StructType([*schema.fields, StructField("_corrupt", StringType())])
-    parsed = lines.select("file", F.col("value").alias("raw"), F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_corrupt"}).alias("row"))
+    parsed = checkpoint(lines.select("file", F.col("value").alias("raw"), F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_corrupt"}).alias("row")))
     bad = parsed.filter("row IS NULL OR row._corrupt IS NOT NULL").select("file", "raw").limit(3).collect()
     if bad:
-        raise MalformedRows("; ".join(f"{r.file}: {r.raw[:80]}" for r in bad))
+        raise MalformedRows("; ".join(f"{r.file}:{_line_number(spark, r.file, r.raw)}: {r.raw[:80]}" for r in bad))
     return parsed.select("raw", *(F.col(f"row.{f.name}").alias(f.name) for f in schema.fields))
 
 
+def _line_number(spark: SparkSession, file: str, line: str) -> int:
+    """Number of the first line of a file that reads like this; partitions of one file come in its order."""
+    found = spark.sparkContext.textFile(file).zipWithIndex().filter(lambda x: x[0] == line).take(1)
+    return found[0][1] + 1 if found else 0
+
+
 def write_rows(df: DataFrame, path: str) -> int:
     """Write one JSON object a line and return the number of rows, counted while writing."""
     seen = Observation()

@@ -16,6 +16,8 @@ def test_readers(spark, tmp_path):
     assert read_lenient(spark, str(p), SCHEMA).count() == 2
     with pytest.raises(MalformedRows, match="not json"):
         read_strict(spark, str(p), SCHEMA)
+    with pytest.raises(MalformedRows, match=r"a\.jsonl:4: not json"):
+        read_strict(spark, str(p), SCHEMA)
     p.write_text('{"id": 1, "t": "x"}\n')
     assert read_strict(spark, str(p), SCHEMA).first().raw == '{"id": 1, "t": "x"}'
     assert read_or_empty(spark, str(tmp_path / "none"), SCHEMA).count() == 0
