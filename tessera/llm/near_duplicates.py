@@ -1,18 +1,23 @@
 """Near-duplicate texts with small edits, found by filters under several global token orders.
 
-A text is the set of its word shingles. Texts with equal sets form one class and go on as one. A pair of similar sets
+A text is the set of its word shingles. Texts with equal sets form one class and go on as one; of a collection
+with many equal texts only one of each is shingled. A pair of similar sets
 must share a token among the first ``n - ceil(t n) + 1`` tokens of each, whatever global order sorts the tokens, so
 candidates are the pairs that share a prefix token under every one of several orders; they are intersected before any
-pair is verified on its whole sets.
+pair is verified on its whole sets. Where texts are made of few phrases the pairs that share a prefix token grow as the
+square of the texts, so a pair is written only if the parity bitmaps of both sets allow it to be similar: each token flips
+one bit, and the bits in which two bitmaps differ are never more than the tokens that only one set has. Large sets have
+longer bitmaps, up to ``MOST_BITS``, which are folded for a comparison with shorter ones.
 
 All orders put rare tokens first. Their frequency class comes from two tables of fixed size that all tasks read: exact
 document counts of tokens are aggregated (partial sums first), and the classes of those that occur more than once are
 folded into ``CELLS`` cells of each table under independent hashes, the largest in a cell counting. A token's class is the
 smaller of its two cells', so a rare token is taken for a frequent one only if it meets frequent ones in both, however
-many tokens the tables hold. The class is a function of the token alone, so the orders are global, and a token with an
-empty cell occurs in one class only and can never be shared: such tokens keep their places in the order but are neither
-indexed nor compared. Full tables cost speed, never pairs. They are packed by block on the executors, so that the driver
-passes on 2 x ``CELLS`` bytes at most and no rows.
+many tokens the tables hold. The class is a function of the token alone, so the orders are global. A token that is not in
+the filter of all shared tokens, whose bits grow with their number up to ``FILTER_BITS``, occurs once and can never be
+shared: such tokens keep their places in the order but are neither indexed nor compared. Full tables and a full filter
+cost speed and disk, never pairs. They are packed by block on the executors, so that the driver passes on 2 x ``CELLS`` +
+``FILTER_BITS`` / 8 bytes at most and no rows.
 
 Defined results: null texts and texts with fewer than ``least`` shingles are in no pair; repeated rows of a key count
 once; equal sets have similarity 1; other columns of the input are not read.
@@ -33,15 +38,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import checkpoint
+from tessera.session import checkpoint, release
 
 #: Cells of each of the two tables of frequency classes, one byte each; a power of two.
 CELLS = 1 << 24
 _BLOCK, _MERGES = 1 << 16, 32
+#: Most bits of the filter of shared tokens, and its bits a token and probes; a power of two.
+FILTER_BITS, _BITS_TOKEN, _PROBES = 1 << 30, 8, 3
+#: Bits of the parity bitmap of a set: twice its tokens or a little more, within these; powers of two.
+LEAST_BITS, MOST_BITS = 512, 4096
 ORDERS = 3
 _TOKEN_MASK = np.uint64((1 << 48) - 1)
 _WORD = re.compile(r"[a-z0-9_]+")
 _CACHE = 500_000
+_FOUND = 200_000
+#: Share of different texts up to which copies are set aside first.
+_ONCE = 0.75
 _BATCH_CHARS = 4 << 20
 
 
@@ -103,6 +115,15 @@ def prefix_length(n: int, threshold: float) -> int:
     return n - math.ceil(threshold * n - 1e-9) + 1
 
 
+def _hashed(src: DataFrame, *more: str) -> DataFrame:
+    return src.select("key", F.xxhash64("text").alias("text_hash"), *more)
+
+
+def _heads(src: DataFrame) -> DataFrame:
+    """``(text_hash, head)``: the smallest key that has each text."""
+    return checkpoint(_hashed(src).groupBy("text_hash").agg(F.min("key").alias("head")))
+
+
 def _counts(src: DataFrame, width: int, least: int) -> DataFrame:
     """``(token, df)`` of tokens that more than one row has; copies inside a task count once."""
 
@@ -170,9 +191,95 @@ def classes_of(tokens: np.ndarray, table: np.ndarray) -> np.ndarray:
     return np.minimum(table[low], table[high]).astype(np.int64)
 
 
+def _probes(tokens: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Positions of each token's bits in a filter of ``bits`` bits."""
+    h = _mix(tokens, 9)
+    step = (h >> np.uint64(32)) | np.uint64(1)
+    with np.errstate(over="ignore"):
+        return [((h + np.uint64(k) * step) & np.uint64(bits - 1)).astype(np.int64) for k in range(_PROBES)]
+
+
+def shared_filter(counts: DataFrame, n_tokens: int, most: int | None = None) -> np.ndarray:
+    """Packed bits of a filter that holds all tokens of ``counts``; tasks send on the places of their bits only."""
+    most = most or FILTER_BITS
+    bits = min(most, max(1 << 16, 1 << (_BITS_TOKEN * n_tokens - 1).bit_length()))
+    block = min(bits, 1 << 16)
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = [np.concatenate(_probes(pdf["token"].to_numpy().astype(np.uint64), bits)) for pdf in batches if len(pdf)]
+        if got:
+            at = np.unique(np.concatenate(got))
+            blocks, first = np.unique(at // block, return_index=True)
+            yield pd.DataFrame({"block": blocks, "bytes": [x.tobytes() for x in np.split((at % block).astype(np.uint16), first[1:])]})
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for b, raw in zip(pdf["block"].tolist(), pdf["bytes"]):
+                got.setdefault(b, np.zeros(block, dtype=np.bool_))[np.frombuffer(raw, dtype=np.uint16)] = True
+        yield pd.DataFrame({"block": list(got), "bytes": [np.packbits(x, bitorder="little").tobytes() for x in got.values()]})
+
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    schema = "block long, bytes binary"
+    for r in counts.mapInPandas(places, schema).repartition(_MERGES, "block").mapInPandas(merge, schema).toLocalIterator():
+        out[r.block * block // 8 : (r.block + 1) * block // 8] = np.frombuffer(r.bytes, dtype=np.uint8)
+    return out
+
+
+def in_filter(tokens: np.ndarray, packed: np.ndarray) -> np.ndarray:
+    """Which tokens the filter may hold."""
+    held = np.ones(len(tokens), dtype=bool)
+    for at in _probes(tokens, 8 * len(packed)):
+        held &= (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+    return held
+
+
+def parity_bitmaps(tokens: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The parity of each set's tokens at each bit of its bitmap."""
+    sizes = np.diff(offsets)
+    bits = 1 << np.ceil(np.log2(np.clip(2 * sizes, LEAST_BITS, MOST_BITS))).astype(np.int64)
+    ends = np.cumsum(bits)
+    cell = (_mix(tokens, 11) & np.repeat(bits - 1, sizes).astype(np.uint64)).astype(np.int64) + np.repeat(ends - bits, sizes)
+    flat = np.packbits((np.bincount(cell, minlength=int(bits.sum())) & 1).astype(np.uint8)).tobytes()
+    return [flat[i:j] for i, j in zip(((ends - bits) // 8).tolist(), (ends // 8).tolist())]
+
+
+class Bitmaps:
+    """Bitmaps of several lengths: for each length those that have it or are folded to it, by row."""
+
+    def __init__(self, raw: list[bytes]) -> None:
+        size = np.array([len(x) for x in raw], dtype=np.int64)
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        above, wide = np.zeros(0, dtype=np.int64), np.zeros((0, MOST_BITS // 32), dtype=np.uint64)
+        bits = MOST_BITS
+        while bits >= LEAST_BITS:
+            folded = wide[:, : bits // 64] ^ wide[:, bits // 64 :]
+            own = np.flatnonzero(size == bits // 8)
+            at = np.full(len(raw), -1, dtype=np.int64)
+            above = np.concatenate([above, own])
+            wide = np.concatenate([folded, np.frombuffer(b"".join(raw[i] for i in own.tolist()), dtype=np.uint64).reshape(len(own), bits // 64)])
+            at[above] = np.arange(len(above))
+            self.levels.insert(0, (at, wide))
+            bits //= 2
+
+    def within(self, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Places of the pairs whose bitmaps differ in ``most`` bits at most, at the longest length that both have."""
+        k = np.arange(len(i))
+        for at, words in self.levels:
+            a, b = at[i[k]], at[j[k]]
+            both = (a >= 0) & (b >= 0)
+            if not both.any():
+                break
+            apart = np.zeros(len(k), dtype=np.int64)
+            apart[both] = np.bitwise_count(words[a[both]] ^ words[b[both]]).sum(axis=1, dtype=np.int64)
+            k = k[apart <= most[k]]
+        return k
+
+
 _DOC_SCHEMA = [
     T.StructField("sig", T.LongType()),
     T.StructField("n", T.IntegerType()),
+    T.StructField("bitmap", T.BinaryType()),
     T.StructField("tokens", T.ArrayType(T.LongType())),
     T.StructField("pre_token", T.ArrayType(T.LongType())),
     T.StructField("pre_mask", T.ArrayType(T.IntegerType())),
@@ -184,12 +291,13 @@ def _documents(src: DataFrame, classes, width: int, threshold: float, least: int
     """Each row's class (``sig``) and size; for texts that can have partners also the shared tokens and the prefixes."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, table = Shingler(width), classes.value
+        shingle, (table, packed) = Shingler(width), classes.value
         for b in _batches(it):
             tok, off = shingle(b.column("text").to_pylist())
-            cls = classes_of(tok, table)
+            cls = np.where(in_filter(tok, packed), classes_of(tok, table), 0)
+            bitmaps = parity_bitmaps(tok, off)
             rows: list[int] = []
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for r, (i, j) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
                 n = j - i
                 if n < least:
@@ -200,7 +308,7 @@ def _documents(src: DataFrame, classes, width: int, threshold: float, least: int
                 live = np.flatnonzero(cls[i:j] > 0)
                 first, p = n - len(live), prefix_length(n, threshold)
                 if first >= p:
-                    for k in range(2, 6):
+                    for k in range(2, 7):
                         out[k].append(None)
                     continue
                 t, c = tok[i:j][live], cls[i:j][live]
@@ -211,12 +319,13 @@ def _documents(src: DataFrame, classes, width: int, threshold: float, least: int
                     if k == 0:
                         pos[o] = first + np.arange(len(t))
                 keep = mask > 0
-                out[2].append(t.astype(np.int64))
-                out[3].append(t[keep].astype(np.int64))
-                out[4].append(mask[keep])
-                out[5].append(pos[keep])
+                out[2].append(bitmaps[r])
+                out[3].append(t.astype(np.int64))
+                out[4].append(t[keep].astype(np.int64))
+                out[5].append(mask[keep])
+                out[6].append(pos[keep])
             if rows:
-                types = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+                types = [pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
                 cols = [pa.array(np.array(out[0], dtype=np.uint64).view(np.int64)), pa.array(out[1], pa.int32())]
                 cols += [pa.array(v, ty) for v, ty in zip(out[2:], types)]
                 yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(rows)), *cols], names=["key", *(f.name for f in _DOC_SCHEMA)])
@@ -225,19 +334,43 @@ def _documents(src: DataFrame, classes, width: int, threshold: float, least: int
 
 
 def _candidates(docs: DataFrame, threshold: float, orders: int) -> DataFrame:
-    """``(a, b)`` pairs of classes that share a prefix token under every order."""
-    e = docs.select("sig", "n", F.explode(F.arrays_zip("pre_token", "pre_mask", "pre_pos")).alias("e")).select(
-        F.col("e.pre_token").alias("token"), "sig", "n", F.col("e.pre_mask").alias("mask"), F.col("e.pre_pos").alias("pos")
+    """``(a, b)`` pairs of classes that share a prefix token under every order and whose bitmaps allow them to be similar."""
+    e = docs.select("sig", "n", "bitmap", F.explode(F.arrays_zip("pre_token", "pre_mask", "pre_pos")).alias("e")).select(
+        F.col("e.pre_token").alias("token"), "sig", "n", F.col("e.pre_mask").alias("mask"), F.col("e.pre_pos").alias("pos"), "bitmap"
     )
-    a, b = e.alias("a"), e.alias("b")
-    t = F.lit(threshold)
-    need = F.ceil(t / (1 + t) * (F.col("a.n") + F.col("b.n")) - 1e-9)
-    both = F.col("a.mask").bitwiseAND(F.col("b.mask"))
-    reach = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= need
-    bits = F.when(reach, both).otherwise(both.bitwiseAND(F.lit(~1)))
-    sized = (F.col("a.n") >= t * F.col("b.n") - 1e-9) & (F.col("b.n") >= t * F.col("a.n") - 1e-9)
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.sig") < F.col("b.sig")) & sized & (bits != 0))
-    seen = pairs.groupBy(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).agg(F.bit_or(bits).alias("bits"))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [b for b in it if b.num_rows]
+        if not batches:
+            return
+        token, sig, n, mask, pos = (np.concatenate([b.column(k).to_numpy() for b in batches]).astype(np.int64) for k in range(5))
+        raw = [x for b in batches for x in b.column(5).to_pylist()]
+        order = np.lexsort((n, token))
+        bitmaps = Bitmaps([raw[k] for k in order.tolist()])
+        del batches, raw
+        token, sig, n, mask, pos = (x[order] for x in (token, sig, n, mask, pos))
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        end = np.repeat(np.append(first[1:], len(token)), np.diff(np.append(first, len(token))))
+        i, gap, held, found = np.arange(len(token)), 0, 0, []
+        while len(i):  # rows ``gap`` places apart; a token's rows are sorted by size, so a row that has met one too large is done
+            gap += 1
+            i = i[i + gap < end[i]]
+            i = i[n[i] >= threshold * n[i + gap] - 1e-9]
+            j = i + gap
+            need = np.ceil(threshold / (1 + threshold) * (n[i] + n[j]) - 1e-9).astype(np.int64)
+            bits = mask[i] & mask[j]
+            bits = np.where(np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need, bits, bits & ~1)
+            k = np.flatnonzero((bits != 0) & (sig[i] != sig[j]))
+            k = k[bitmaps.within(i[k], j[k], n[i[k]] + n[j[k]] - 2 * need[k])]
+            if len(k):
+                a, b = sig[i[k]], sig[j[k]]
+                found.append((np.minimum(a, b), np.maximum(a, b), bits[k]))
+                held += len(k)
+            if found and (held > _FOUND or not len(i)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["a", "b", "bits"])
+                held, found = 0, []
+
+    seen = e.repartition("token").mapInArrow(run, "a long, b long, bits long").groupBy("a", "b").agg(F.bit_or("bits").alias("bits"))
     return seen.filter(F.col("bits") == (1 << orders) - 1).select("a", "b")
 
 
@@ -249,10 +382,21 @@ class NearDuplicates:
             raise ValueError("threshold must lie in (0, 1], width and orders must be positive")
         src = df.select(df[key].alias("key"), df[text].alias("text")).filter("key IS NOT NULL AND text IS NOT NULL")
         least = max(1, least)
-        classes = df.sparkSession.sparkContext.broadcast(frequency_classes(_counts(src, width, least)))
-        rows = checkpoint(_documents(src, classes, width, threshold, least, orders))
+        heads, texts = _heads(src), src
+        once = heads.count() < _ONCE * src.count()
+        if once:  # many copies: only the heads are shingled
+            texts = checkpoint(_hashed(src, "text").join(heads.withColumnRenamed("head", "key"), ["text_hash", "key"], "left_semi").select("key", "text"))
+        counts = checkpoint(_counts(texts, width, least))
+        tables = frequency_classes(counts), shared_filter(counts, counts.count())
+        release(counts)
+        rows = checkpoint(_documents(texts, df.sparkSession.sparkContext.broadcast(tables), width, threshold, least, orders))
         #: ``(key, sig)``: the class of each text that has enough shingles.
         self.members = rows.select("key", "sig").distinct()
+        if once:
+            release(texts)
+            of = rows.select(F.col("key").alias("head"), "sig").join(heads, "head").select("text_hash", "sig")
+            self.members = checkpoint(_hashed(src).join(of, "text_hash").select("key", "sig").distinct())
+        release(heads)
         docs = rows.filter("tokens IS NOT NULL").drop("key").dropDuplicates(["sig"])
         whole = docs.select("sig", "n", "tokens")
         cand = _candidates(docs, threshold, orders)

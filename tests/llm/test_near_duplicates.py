@@ -1,3 +1,4 @@
+import collections
 import itertools
 import random
 import re
@@ -87,3 +88,86 @@ def test_connected(spark):
     e = [(1, 2), (2, 3), (3, 4), (4, 5), (10, 11)]
     df = spark.createDataFrame(e + [(b, a) for a, b in e], "x long, y long")
     assert {r.x: r.component for r in connected(df).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 10: 10, 11: 10}
+
+
+def phrases(seed, n):
+    """Texts of few phrases: every pair shares shingles, next to none are similar; some are copied with one phrase changed."""
+    rnd = random.Random(seed)
+    words = [f"w{i}" for i in range(40)]
+    pool = [" ".join(rnd.choice(words) for _ in range(10)) for _ in range(60)]
+    docs = [[rnd.choice(pool) for _ in range(12)] for _ in range(n)]
+    docs += [[rnd.choice(pool), *d[1:]] for d in docs[::15]]
+    return [(f"d{i:03d}", " ".join(d)) for i, d in enumerate(docs)]
+
+
+@pytest.mark.parametrize("cells,bits", [(1 << 16, 1 << 30), (2, 1 << 30), (64, 64)])
+def test_only_similar_pairs_are_written(spark, monkeypatch, cells, bits):
+    """Neither texts of common phrases nor full tables make the tables of tokens and candidates large."""
+    import tessera.llm.near_duplicates as nd
+
+    rows = phrases(1, 150) + [(f"u{i}", " ".join(f"u{i}x{j}" for j in range(60)) + " " + " ".join(f"w{j}" for j in range(60))) for i in range(20)]
+    sets = {k: shingles(x, 3) for k, x in rows}
+    want = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b]) - 1e-9}
+    real, seen = nd._candidates, {}
+
+    def watched(docs, *args):
+        out = real(docs, *args)
+        seen["tokens"], seen["pairs"] = docs.selectExpr("coalesce(sum(size(tokens)), 0)").first()[0], out.count()
+        return out
+
+    monkeypatch.setattr(nd, "_candidates", watched)
+    monkeypatch.setattr(nd, "CELLS", cells)
+    monkeypatch.setattr(nd, "FILTER_BITS", bits, raising=False)
+    df = spark.createDataFrame(rows, "chunk_id string, text string")
+    got = {(r.key_a, r.key_b) for r in NearDuplicates(df, "chunk_id", "text", width=3, threshold=0.6, least=5, orders=1).key_pairs().collect()}
+    assert want and got == want
+    assert seen["pairs"] <= 3 * len(want)
+    if bits > 64:
+        df_of = collections.Counter(s for x in sets.values() for s in x)
+        assert seen["tokens"] <= 1.1 * sum(df_of[s] > 1 for x in sets.values() for s in x)
+
+
+def test_bitmaps_keep_all_similar_pairs():
+    from tessera.llm.near_duplicates import Bitmaps, parity_bitmaps
+
+    rnd = np.random.default_rng(3)
+    sets, off = [], [0]
+    for size in (1, 40, 100, 255, 256, 257, 400, 600, 900, 2000, 5000):
+        base = np.unique(rnd.integers(0, 1 << 48, size))
+        for part in (1.0, 0.95, 0.8, 0.6, 0.0):
+            k = int(len(base) * part)
+            sets.append(np.unique(np.concatenate([base[:k], rnd.integers(0, 1 << 48, len(base) - k)])).astype(np.uint64))
+            off.append(off[-1] + len(sets[-1]))
+    raw = parity_bitmaps(np.concatenate(sets), np.array(off))
+    assert raw[3] == parity_bitmaps(sets[3], np.array([0, len(sets[3])]))[0] and {len(x) * 8 for x in raw} == {512, 1024, 2048, 4096}
+    i, j = (np.array(x) for x in zip(*itertools.combinations(range(len(sets)), 2)))
+    apart = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    maps = Bitmaps(raw)
+    assert len(maps.within(i, j, apart)) == len(i)
+    n = np.array([len(s) for s in sets])
+    close = (n[i] + n[j]) // 4
+    kept = set(maps.within(i, j, close).tolist())
+    assert {k for k in range(len(i)) if apart[k] <= close[k]} <= kept
+    small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+    foreign = np.flatnonzero((apart == n[i] + n[j]) & (small >= 40) & (large <= 2000) & (small >= 0.6 * large))
+    assert len(foreign) and not kept & set(foreign.tolist())
+
+
+def test_copies_are_shingled_once(spark, monkeypatch):
+    """A collection repeated under other keys stores the tokens of each text once, and has all pairs of all copies."""
+    import tessera.llm.near_duplicates as nd
+
+    rows = [(f"{k}~{c}", x) for k, x in phrases(2, 30) for c in range(4)] + [("d000~0", "another text of a key that has two")]
+    rows += [rows[0], rows[5], ("n", None), (None, rows[0][1])]
+    sets = [(k, shingles(x, 3)) for k, x in rows if k and x]
+    want = {tuple(sorted((a, b))) for (a, s), (b, t) in itertools.combinations(sets, 2) if a != b and len(s) >= 5 <= len(t) and len(s & t) >= 0.6 * len(s | t) - 1e-9}
+    real, seen = nd._documents, []
+
+    def watched(*args):
+        seen.append(real(*args).filter("tokens IS NOT NULL").count())
+        return real(*args)
+
+    monkeypatch.setattr(nd, "_documents", watched)
+    near = NearDuplicates(spark.createDataFrame(rows, "chunk_id string, text string"), "chunk_id", "text", width=3, threshold=0.6, least=5)
+    assert {(r.key_a, r.key_b) for r in near.key_pairs().collect()} - {("d000~0", "d000~0")} == want
+    assert 0 < seen[0] <= 1.2 * len({x for _, x in rows if x})
